@@ -1,0 +1 @@
+"""Left empty on purpose: every table is a batch snapshot, replaced per run; there is no stream to read."""

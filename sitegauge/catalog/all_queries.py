@@ -1,4 +1,4 @@
 """Imports every query module, which fills the registry."""
 
-from sitegauge.catalog import gold_queries, serving_queries, text_queries  # noqa: F401
+from sitegauge.catalog import gold_queries, page_queries, serving_queries, text_queries  # noqa: F401
 from sitegauge.catalog.registry import ORACLES, QUERIES  # noqa: F401

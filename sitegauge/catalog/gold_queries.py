@@ -88,12 +88,11 @@ def join_dim_counts(spark, sf):
 
 
 @register("join_categories_company", f"""SELECT r.serial_no, brand, category, n FROM
-  (SELECT serial_no, category, count(*) AS n FROM {K.PRODUCTS} WHERE category IS NOT NULL GROUP BY serial_no, category) r
+  (SELECT serial_no, category, count(DISTINCT url) AS n FROM {K.PRODUCTS} WHERE category IS NOT NULL GROUP BY serial_no, category) r
   JOIN {K.COMPANY} c ON c.serial_no = r.serial_no""")
 def join_categories_company(spark, sf):
-    counts = G.with_category_names(product_table(spark, sf).where(F.col("category_code").isNotNull())
-                                   .groupBy("serial_no", "category_code").agg(F.count("*").alias("n")))
-    return counts.join(company(spark, sf), "serial_no").select("serial_no", "brand", "category", "n")
+    counts = G.category_rollup(product_table(spark, sf))
+    return counts.join(company(spark, sf), "serial_no").select("serial_no", "brand", "category", F.col("product_pages").alias("n"))
 
 
 @register("join_products_heading", f"""SELECT p.serial_no, p.url, h1 FROM {K.PRODUCTS} p LEFT JOIN {S.sql(S.PRODUCT_PAGES)} h

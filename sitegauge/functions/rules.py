@@ -17,7 +17,7 @@ def first_match(c, patterns) -> Column:
 
 
 def category_code(path, rules=tuple(presets.CATEGORY_RULES)) -> Column:
-    """Small integer for the (category, segment) of the first matching rule.
+    """Small integer for the (category, segment) of the first matching rule, null without a match.
 
     One CASE over the rules; rules with the same category share a code, so the code can be the
     grouping key and the names are looked up after the aggregation."""

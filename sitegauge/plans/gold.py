@@ -73,9 +73,14 @@ def with_category_names(products: DataFrame, rules=tuple(presets.CATEGORY_RULES)
 
 
 def category_rollup(products: DataFrame, rules=tuple(presets.CATEGORY_RULES)) -> DataFrame:
-    """Distinct pages and smallest address per company and category; grouped by the short code."""
-    grouped = (products.where(F.col("category_code").isNotNull()).groupBy("serial_no", "category_code")
-               .agg(F.count_distinct("url").alias("product_pages"), F.min("url").alias("example_url")))
+    """Distinct pages and smallest address per company and category; grouped by the short code.
+
+    The code is carried on as an aggregate: a filter on it, or on a name made from it, then stays
+    above the aggregation.  Pushed below, it would run all the rules a second time per address."""
+    grouped = (products.groupBy("serial_no", F.col("category_code").alias("_group"))
+               .agg(F.max("category_code").alias("category_code"),
+                    F.count_distinct("url").alias("product_pages"), F.min("url").alias("example_url"))
+               .where(F.col("category_code").isNotNull()).drop("_group"))
     return with_category_names(grouped, rules)
 
 

@@ -24,7 +24,7 @@ def median_words(log: DataFrame, site: str, words: str = "word_count", ok: Colum
     readable = log.where((F.col("fetch_status") == "ok") if ok is None else ok)
     frequencies = readable.groupBy(site, words).agg(F.count("*").alias("_n"))
     return frequencies.groupBy(site).agg(
-        F.percentile(words, 0.5, "_n").cast("int").alias("median_word_count"))
+        F.percentile(words, 0.5, F.col("_n")).cast("int").alias("median_word_count"))
 
 
 def site_duration(log: DataFrame, site: str, ts: str = "scraped_at") -> DataFrame:

@@ -169,7 +169,7 @@ def scrape_status(sites: DataFrame, log: DataFrame, inventory: DataFrame | None
     piece = F.floor(F.col("visit_order") / 1000) if chunk is None else chunk
     counts = aggregates.page_counts(log, site)
     words = log.where(F.col("fetch_status") == "ok").groupBy(site, "word_count").agg(F.count("*").alias("_n"))
-    median = words.groupBy(site).agg(F.percentile("word_count", 0.5, "_n").alias("median_words"))
+    median = words.groupBy(site).agg(F.percentile("word_count", 0.5, F.col("_n")).alias("median_words"))
     start = log.where("visit_order = 0").groupBy(site).agg(
         F.min(F.struct("url", "fetch_status", "http_status", "error")).alias("_start")).select(
         site, F.col("_start.fetch_status").alias("start_status"), F.col("_start.http_status").alias("start_http_status"),

@@ -90,10 +90,18 @@ def guard_any_success(status: DataFrame, pages_ok: str = "pages_ok") -> None:
         raise RuntimeError("no page was read from any site; the other tables were left alone")
 
 
-def overwrite_table(df: DataFrame, name: str, observe: bool = True) -> int | None:
-    """Replace a table, also its columns, and return the row count seen while writing."""
-    counted = Observation()
-    if observe:
-        df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
-    return counted.get["rows"] if observe else None
+def _counted(df: DataFrame, write) -> int:
+    """Write and return the row count, seen while writing instead of by a second scan."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"]
+
+
+def overwrite_table(df: DataFrame, name: str) -> int:
+    """Replace a catalog table, also its columns; returns the row count."""
+    return _counted(df, lambda d: d.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name))
+
+
+def overwrite_files(df: DataFrame, path: str) -> int:
+    """Replace a table kept as Parquet files in a folder; returns the row count."""
+    return _counted(df, lambda d: d.write.mode("overwrite").parquet(path))

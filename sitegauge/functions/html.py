@@ -5,6 +5,7 @@ Test pages and real pages are not well formed, so nothing relies on closing tags
 content of a raw-text element (script, style, title) has to end somewhere.
 """
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -14,7 +15,8 @@ from sitegauge import presets
 from sitegauge.functions.text import as_col, clip_text, squeeze
 
 COMMENTS = r"(?s)<!--.*?-->"
-HIDDEN_TAGS = ["script", "style", "noscript", "svg", "template"]
+CODE_TAGS = ["script", "style"]
+HIDDEN_TAGS = ["noscript", "svg", "template"]
 FRAME_TAGS = ["iframe", "nav", "header", "footer", "form"]
 TAG = r"(?s)<(?:/?[A-Za-z]|!|\?)(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>|<(?:/?[A-Za-z]|!|\?)[^>]*>"
 ENTITY = r"&(?=(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);)"
@@ -32,7 +34,9 @@ def _character(code: Column) -> Column:
 def _entity(name: Column) -> Column:
     """Text of an entity name such as amp, #38 or #x26; null for an unknown name."""
     number = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(F.substr(name, F.lit(2)))
-    known = F.create_map(*[F.lit(x) for n, p in sorted(name2codepoint.items()) for x in (n, chr(p))])
+    # One JSON literal: the optimizer folds it into a constant map.
+    table = json.dumps({n: chr(p) for n, p in sorted(name2codepoint.items())})
+    known = F.from_json(F.lit(table), "map<string,string>")
     chosen = F.when(name.startswith("#"), _character(number.cast("bigint")))
     for entity, text in COMMON.items():
         chosen = chosen.when(name == entity, F.lit(text))
@@ -83,12 +87,25 @@ def _element(html, tag: str) -> Column:
     return F.when(text.rlike(_start_tag(tag)), F.regexp_extract(text, pattern, 1))
 
 
+def markup_of(html) -> Column:
+    """HTML without comments, scripts and styles."""
+    return without_blocks(without_comments(html), CODE_TAGS)
+
+
+def title_of(markup, limit: int = 500) -> Column:
+    return clip_text(unescape(_element(markup, "title")), limit)
+
+
+def h1_of(markup, limit: int = 500) -> Column:
+    return clip_text(tag_text(_element(markup, "h1")), limit)
+
+
 def html_title(html, limit: int = 500) -> Column:
-    return clip_text(unescape(_element(without_blocks(without_comments(html), ["script", "style"]), "title")), limit)
+    return title_of(markup_of(html), limit)
 
 
 def html_h1(html, limit: int = 500) -> Column:
-    return clip_text(tag_text(_element(without_blocks(without_comments(html), ["script", "style"]), "h1")), limit)
+    return h1_of(markup_of(html), limit)
 
 
 def attribute(tag, name: str) -> Column:
@@ -99,17 +116,21 @@ def attribute(tag, name: str) -> Column:
     return F.when(text.rlike(pattern), unescape(value))
 
 
-def html_meta_description(html, limit: int = 1000) -> Column:
-    """Content of meta description, else of og:description."""
-    metas = F.regexp_extract_all(without_comments(html), F.lit(r"(?is)<meta(?=[\s>/])[^>]*>"), F.lit(0))
+def meta_description_of(markup, limit: int = 1000) -> Column:
+    metas = F.regexp_extract_all(as_col(markup), F.lit(r"(?is)<meta(?=[\s>/])[^>]*>"), F.lit(0))
     named = F.filter(metas, lambda m: m.rlike(r"(?i)\sname\s*=\s*[\"']?description(?=[\"'\s/>])"))
     graph = F.filter(metas, lambda m: m.rlike(r"(?i)\sproperty\s*=\s*[\"']?og:description(?=[\"'\s/>])"))
     chosen = F.coalesce(F.get(named, F.lit(0)), F.get(graph, F.lit(0)))
     return clip_text(attribute(chosen, "content"), limit)
 
 
+def html_meta_description(html, limit: int = 1000) -> Column:
+    """Content of meta description, else of og:description."""
+    return meta_description_of(markup_of(html), limit)
+
+
 def json_ld_blocks(html, chars: int = presets.MAX_JSON_LD_CHARS) -> Column:
-    """All JSON-LD script bodies, clipped, empty ones dropped."""
+    """All JSON-LD script bodies, clipped, empty ones dropped.  Needs the scripts of the page."""
     pattern = r"(?is)<script(?=[^>]*\stype\s*=\s*[\"']?application/ld\+json)[^>]*>(.*?)(?:</script\s*>|\z)"
     bodies = F.regexp_extract_all(without_comments(html), F.lit(pattern), F.lit(1))
     return F.filter(F.transform(bodies, lambda b: clip_text(b, chars)), lambda b: b.isNotNull())
@@ -119,23 +140,34 @@ def html_json_ld(html, keep: int = presets.MAX_JSON_LD_BLOCKS) -> Column:
     return F.slice(json_ld_blocks(html), 1, keep)
 
 
+def hrefs_of(markup) -> Column:
+    anchors = F.regexp_extract_all(as_col(markup), F.lit(r"(?is)<a(?=\s)[^>]*>"), F.lit(0))
+    return F.filter(F.transform(anchors, lambda a: attribute(a, "href")), lambda h: h.isNotNull())
+
+
 def html_hrefs(html) -> Column:
     """Raw link targets of all anchors, in page order."""
-    markup = without_blocks(without_comments(html), ["script", "style"])
-    anchors = F.regexp_extract_all(markup, F.lit(r"(?is)<a(?=\s)[^>]*>"), F.lit(0))
-    return F.filter(F.transform(anchors, lambda a: attribute(a, "href")), lambda h: h.isNotNull())
+    return hrefs_of(markup_of(html))
+
+
+def shown_of(markup) -> Column:
+    """Markup that a reader sees, header and footer included."""
+    return without_blocks(markup, HIDDEN_TAGS)
 
 
 def html_visible_text(html) -> Column:
-    """All text a reader sees, header and footer included; null for a page without text."""
-    shown = without_blocks(without_comments(html), HIDDEN_TAGS)
-    return F.nullif(squeeze(tag_text(shown)), F.lit(""))
+    """All text a reader sees; null for a page without text."""
+    return F.nullif(text_of_markup(shown_of(markup_of(html))), F.lit(""))
 
 
-def main_markup(html) -> Column:
+def main_of(shown) -> Column:
     """Markup of the main part: menus, headers, footers and forms removed, then main, else body."""
-    shown = without_blocks(without_comments(html), HIDDEN_TAGS + FRAME_TAGS)
-    return F.coalesce(_element(shown, "main"), _element(shown, "body"), shown)
+    content = without_blocks(shown, FRAME_TAGS)
+    return F.coalesce(_element(content, "main"), _element(content, "body"), content)
+
+
+def main_markup(html) -> Column:
+    return main_of(shown_of(markup_of(html)))
 
 
 def text_of_markup(markup) -> Column:

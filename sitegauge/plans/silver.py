@@ -27,34 +27,34 @@ def extract_pages(fetched: DataFrame) -> DataFrame:
     fetched: site columns, url, final_url, http_status, content_type, html, error, base_url."""
     readable = F.col("http_status").isNotNull() & (F.col("http_status") < 400) & F.coalesce(
         F.lower("content_type"), F.lit("")).contains("html")
-    page = fetched.withColumn("_html", F.when(readable, F.col("html"))).drop("html")
+    no_strings = F.array().cast("array<string>")
+    page_url = F.coalesce("final_url", "url")
+    # Each step is used by several of the next, so every cleaning pass over the HTML runs once.
     fields = (
-        page.withColumn("title", H.html_title("_html"))
-        .withColumn("meta_description", H.html_meta_description("_html"))
-        .withColumn("h1", H.html_h1("_html"))
-        .withColumn("_blocks", H.json_ld_blocks("_html"))
-        .withColumn("_links", page_links("_html", F.coalesce("final_url", "url")))
-        .withColumn("_visible", F.coalesce(H.html_visible_text("_html"), F.lit("")))
-        .withColumn("_main", H.main_markup("_html"))
+        fetched.withColumn("_page", H.without_comments(F.when(readable, F.col("html")))).drop("html")
+        .withColumn("_markup", H.without_blocks("_page", H.CODE_TAGS))
+        .withColumn("_shown", H.shown_of("_markup"))
+        .withColumns({
+            "title": H.title_of("_markup"),
+            "_blocks": F.coalesce(H.json_ld_blocks("_page"), no_strings),
+            "_links": F.coalesce(F.transform(H.hrefs_of("_markup"), lambda h: U.resolve_url(page_url, h)), no_strings),
+            "_visible": F.coalesce(H.text_of_markup("_shown"), F.lit("")),
+            "_main": H.main_of("_shown")})
         .withColumn("_text", H.text_of_markup("_main"))
-        .withColumn("word_count", X.word_count("_text"))
-        .withColumn("_captcha", H.captcha_flag("title", "_text", "word_count"))
+        .withColumn("_words", X.word_count("_text"))
     )
-    no_strings = F.array().cast("array<string>")
     return fields.select(
         *[c for c in fetched.columns if c not in ("html", "content_type", "base_url")],
-        H.fetch_status("http_status", "content_type", F.coalesce("_captcha", F.lit(False))).alias("fetch_status"),
-        "title", "meta_description", "h1",
+        H.fetch_status("http_status", "content_type", F.coalesce(H.captcha_flag("title", "_text", "_words"), F.lit(False))).alias("fetch_status"),
+        "title", H.meta_description_of("_markup").alias("meta_description"), H.h1_of("_markup").alias("h1"),
         F.coalesce(H.headings_of_markup("_main"), no_strings).alias("headings"),
         F.nullif(F.substring("_text", 1, presets.MAX_TEXT_CHARS), F.lit("")).alias("body_text"),
-        F.coalesce("word_count", F.lit(0)).alias("word_count"),
-        F.coalesce(F.slice("_blocks", 1, presets.MAX_JSON_LD_BLOCKS), no_strings).alias("json_ld"),
-        F.coalesce(C.page_phones("_visible", F.coalesce("_links", no_strings), F.coalesce("_blocks", no_strings)),
-                   F.array().cast(C.CONTACT_TYPE)).alias("contact_phones"),
-        F.coalesce(C.page_addresses("_visible", F.coalesce("_blocks", no_strings)),
-                   F.array().cast(C.CONTACT_TYPE)).alias("contact_addresses"),
+        F.coalesce("_words", F.lit(0)).alias("word_count"),
+        F.slice("_blocks", 1, presets.MAX_JSON_LD_BLOCKS).alias("json_ld"),
+        C.page_phones("_visible", "_links", "_blocks").alias("contact_phones"),
+        C.page_addresses("_visible", "_blocks").alias("contact_addresses"),
         F.coalesce(internal_link_count("_links", F.col("base_url")), F.lit(0)).alias("internal_link_count"),
-        F.coalesce("_links", no_strings).alias("links"),
+        F.col("_links").alias("links"),
     )
 
 

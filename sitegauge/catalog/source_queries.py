@@ -35,7 +35,7 @@ def read_landing_csv(spark, sf):
 
 @register("file_lineage", "SELECT s_suppkey, 'supplier.parquet' AS file_name, TRUE AS stamped FROM supplier")
 def file_lineage(spark, sf):
-    rows = I.file_lineage(I.with_source_file(S.table(spark, sf, "supplier")))
+    rows = I.file_lineage(I.with_source_file(spark.read.parquet(f"{sf}/supplier.parquet")))
     return rows.select("s_suppkey", F.substring_index("_source_file", "/", -1).alias("file_name"), F.col("_ingested_at").isNotNull().alias("stamped"))
 
 

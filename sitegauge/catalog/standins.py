@@ -10,6 +10,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sitegauge.sources.tables import read_parquet
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -199,7 +201,7 @@ FROM {pages}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 def frame(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:

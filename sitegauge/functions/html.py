@@ -53,8 +53,7 @@ def unescape(c) -> Column:
         value = _entity(name)
         return F.when(i == 0, piece).when(value.isNull(), F.concat(F.lit("&"), piece)).otherwise(F.concat(value, rest))
 
-    decoded = F.array_join(F.transform(F.split(text, ENTITY), restore), "")
-    return F.when(text.rlike(ENTITY), decoded).otherwise(text)
+    return F.array_join(F.transform(F.split(text, ENTITY), restore), "")
 
 
 def _block(tags) -> str:

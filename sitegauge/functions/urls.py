@@ -21,7 +21,7 @@ def clean_url(c) -> Column:
     bare = F.substring_index(F.substring_index(raw, "#", 1), "?", 1)
     origin = _scheme_and_host(bare)
     path = F.regexp_replace(F.substr(bare, F.length(origin) + 1), r";[^/]*$", "")
-    return F.concat(F.lower(origin), F.when(path == "", F.lit("/")).otherwise(path))
+    return F.regexp_replace(F.concat(F.lower(origin), path), r"^([^/]*//[^/]*)$", "$1/")
 
 
 def key_of_clean_url(c) -> Column:

@@ -113,17 +113,20 @@ def electric_products(company: DataFrame, pages: DataFrame, products: DataFrame,
                       landing_pattern: str = presets.ELECTRIC_LANDING_PATTERN) -> DataFrame:
     """Product pages about a keyword, one per company and product name.
 
-    Headings come by (company, address); only pages that have one take part in the join."""
+    Headings come by (company, address); only pages that have one take part in the join.  The
+    category rules run last, on the few pages that are left."""
     headings = pages.where(F.col("h1").isNotNull()).select("serial_no", "url", "h1")
-    candidates = products.where(~X.last_segment("relative_path").rlike(landing_pattern))
+    candidates = products.select("serial_no", "url", "relative_path").where(
+        ~X.last_segment("relative_path").rlike(landing_pattern))
     found = candidates.join(headings, ["serial_no", "url"], "left").where(
         R.keyword_or_filter("relative_path", "h1", path_pattern, heading_pattern))
-    named = with_category_names(found, rules).select(
-        "serial_no", X.product_name("h1", "relative_path").alias("product_name"),
-        X.default_label("category").alias("category"), X.default_label("segment").alias("segment"),
-        "url", X.value_provenance("h1").alias("name_source"))
-    return (lookup_join(dedup_product_name(named), company.select(*NAMES), "serial_no", "inner", spread=["url"])
-            .select(*NAMES, "product_name", "segment", "category", "url", "name_source"))
+    named = dedup_product_name(found.select(
+        "serial_no", X.product_name("h1", "relative_path").alias("product_name"), "url", "relative_path",
+        X.value_provenance("h1").alias("name_source")))
+    labelled = with_category_names(named.withColumn("category_code", R.category_code("relative_path", rules)), rules)
+    return lookup_join(labelled, company.select(*NAMES), "serial_no", "inner", spread=["url"]).select(
+        *NAMES, "product_name", X.default_label("segment").alias("segment"),
+        X.default_label("category").alias("category"), "url", "name_source")
 
 
 def tech_mentions(company: DataFrame, pages: DataFrame, themes: dict = presets.TECH_THEMES,

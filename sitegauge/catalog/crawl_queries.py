@@ -260,7 +260,7 @@ def parse_sitemap_index(spark, sf):
 
 
 # Small limit so that sites reach it: the fourth readable file is the last one taken.
-@register("sitemap_stats", f"""SELECT site, coalesce(least(max(CASE WHEN error IS NULL THEN ok_so_far END), 4), 0) AS sitemap_files_read,
+@register("sitemap_stats", f"""SELECT site, least(coalesce(max(CASE WHEN error IS NULL THEN ok_so_far END), 0), 4) AS sitemap_files_read,
   coalesce(CAST(sum(CASE WHEN error IS NOT NULL AND ok_so_far < 4 THEN 1 ELSE 0 END) AS BIGINT), 0) AS sitemap_errors FROM
   (SELECT *, CAST(sum(CASE WHEN error IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY site ORDER BY file_order ROWS UNBOUNDED PRECEDING) AS BIGINT) AS ok_so_far FROM {FILES}) GROUP BY site""")
 def sitemap_stats(spark, sf):

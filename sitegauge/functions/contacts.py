@@ -93,11 +93,14 @@ def extract_jsonld_addresses(blocks, states: dict = presets.US_STATES) -> Column
 def contacts_first_wins(candidates, keep: int = presets.MAX_CONTACTS_PER_PAGE) -> Column:
     """First candidate of each value, in order, at most `keep` values.
 
-    Distinct values first, then one lookup per kept value: linear in the candidates."""
-    all_of_them = as_col(candidates)
-    values = F.transform(all_of_them, lambda c: c["value"])
-    first = F.slice(F.array_distinct(values), 1, keep)
-    return F.transform(first, lambda v: F.get(all_of_them, (F.array_position(values, v) - 1).cast("int")))
+    Distinct values first, then one lookup per kept value: linear in the candidates.  The
+    candidates are bound to a lambda variable, so they are computed once per page."""
+    def choose(found):
+        first = F.slice(F.array_distinct(F.transform(found, lambda c: c["value"])), 1, keep)
+        return F.transform(first, lambda v: F.get(
+            found, (F.array_position(F.transform(found, lambda c: c["value"]), v) - 1).cast("int")))
+
+    return F.get(F.transform(F.array(as_col(candidates)), choose), F.lit(0))
 
 
 def page_phones(text, links, blocks) -> Column:

@@ -59,8 +59,8 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus, F.lit(-1))
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, modulus: int, out: int, rows: int) -> DataFrame:
-    """doc_id, text and `label` of at most `rows` labelled documents outside the held-out fold `out`.
+def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, modulus: int, out: int, rows: int, *more: str) -> DataFrame:
+    """doc_id, text, the columns `more` and the label of at most `rows` labelled documents outside the held-out fold `out`.
 
     The bound makes broadcasting the chosen ids safe: `rows` ids and labels, whatever the corpus size.
     Repeated label rows of one id count once, with their largest label; repeated document rows stay.
@@ -70,4 +70,4 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, modulus
         .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (fold(F.col("doc_id"), modulus) != out))
         .groupBy("doc_id").agg(F.max("label").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return documents.select("doc_id", whole_text().alias("text"), *more).join(F.broadcast(chosen), "doc_id")

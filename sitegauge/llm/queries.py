@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitegauge.llm import packing, token_cache
+from sitegauge.llm import packing, pii_crf, quality_gam, token_cache, toxicity_cnn
 from sitegauge.llm.common import table, workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,25 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op2_quality_gam")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = quality_gam.train(documents, table(spark, sf_dir, "labels"))
+    return quality_gam.score_quality(documents, model)
+
+
+@query("op4_pii_crf")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.find_personal_data(table(spark, sf_dir, "documents"))
+
+
+@query("op5_toxicity_cnn")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity_cnn.train(documents, table(spark, sf_dir, "labels"))
+    return toxicity_cnn.score_toxicity(documents, model)
+
+
 @query("op9_token_cache")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache each time, so that its rows never depend on earlier runs."""

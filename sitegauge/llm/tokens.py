@@ -13,8 +13,11 @@ import re
 import numpy as np
 
 #: Chunks remembered per Python worker, and the longest that is remembered: bounds its memory.
-REMEMBERED, LONGEST = 700_000, 64
+REMEMBERED, LONGEST = 1_400_000, 64
 _NOT_SPACE_ELSEWHERE = re.compile("[\x1c-\x1f]")
+#: Words of these lower-case letter by letter; these marks are always cut from the letters before them.
+_LATIN = re.compile("[!-;=-~À-ÖØ-öø-ÿ]{2,64}")
+_MARKS = ".,;:!?%&$#*|"
 #: Beyond these the Unicode versions of two regex engines may differ; so long a run is slow in one of them.
 _PLAIN = re.compile("[\x00-ɏ‐-‧€]*")
 _LONG_RUN = re.compile(r"\S{1000}")
@@ -44,15 +47,28 @@ class WordIds:
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def learn(self, words: list[str]) -> None:
-        plain = [w for w in words if "<|" not in w and len(w) <= LONGEST]
-        if not plain:
+        """Encode new words; of a word and its sentence marks each part once, since the tokenizer cuts between them
+        and lower-cases."""
+        parts, whole = {}, []
+        for word in words:
+            core = word.lower().rstrip(_MARKS) if _LATIN.fullmatch(word) else ""
+            if core and core != word and core[-1].isalpha():
+                parts[word] = (core, word[len(core):])
+            elif "<|" not in word and len(word) <= LONGEST:
+                whole.append(word)
+        new = {p for pair in parts.values() for p in pair if p}
+        self.encode([*whole, *(new - self.known.keys() - set(whole))])
+        self.known.update((w, self.known[a] + (self.known[b] if b else b"")) for w, (a, b) in parts.items())
+
+    def encode(self, words: list[str]) -> None:
+        if not words:
             return
         ids = np.asarray(
-            self.library.encode_batch_fast([self.cut.join(plain)], add_special_tokens=False)[0].ids, dtype="<u4")
+            self.library.encode_batch_fast([self.cut.join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = np.append(np.flatnonzero(ids == self.cut_id), len(ids))
         starts = np.append(0, ends[:-1] + 1)
         raw = ids.tobytes()
-        self.known.update((w, raw[4 * i:4 * j]) for w, i, j in zip(plain, starts.tolist(), ends.tolist(), strict=True))
+        self.known.update((w, raw[4 * i:4 * j]) for w, i, j in zip(words, starts.tolist(), ends.tolist(), strict=True))
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """One array of ids for each text."""

@@ -1,6 +1,7 @@
 """A toxicity score from a convolutional text classifier trained in numpy.
 
-Words are hashed; hashes seen in enough training texts have an embedding, all others share the zero one.  Filters of
+Words and their first letters are hashed; hashes seen in enough training texts have an embedding, all others share
+the zero one, and a word's embedding is the sum of its own and that of its beginning.  Filters of
 several widths run over the words of the whole text, each filter's largest value is kept, and a logistic layer scores
 those.  One dimension of the embeddings starts from how much more often the training texts with the word are toxic;
 everything is then trained together.  A threshold per language is calibrated on the training sample; the score itself
@@ -22,20 +23,28 @@ from pyspark.sql import functions as F
 from sitegauge.llm.common import fold, labelled_sample, whole_text
 
 #: Bounds of the training sample: labelled documents, and words in each (longer ones are only scored).
-SAMPLE_ROWS, SAMPLE_WORDS = 10_000, 1_200
-SEEN_IN, SIZE, WIDTHS, FILTERS, EPOCHS, BATCH = 5, 8, (1, 2, 3), 8, 8, 128
+SAMPLE_ROWS, SAMPLE_WORDS = 12_000, 1_200
+SEEN_IN, SIZE, WIDTHS, FILTERS, EPOCHS, BATCH, BEGINNING = 5, 8, (1, 2, 3), 8, 8, 128, 5
 POSITIONS = 200_000  # words that are scored at once
 REMEMBERED = 400_000
 _WORD = re.compile(r"[^\W\d_]+")
 _GAP = max(WIDTHS) - 1
 
 
-def hashed(text: str) -> list[int]:
-    return [zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in _WORD.findall(text.lower())]
+def hashes_of(word: str) -> tuple[int, int]:
+    """Of the word and of its beginning; a short word has the same twice."""
+    raw = word.encode("utf-8", "surrogatepass")
+    start = word[:BEGINNING].encode("utf-8", "surrogatepass") + b"~" if len(word) > BEGINNING else raw
+    return zlib.crc32(raw), zlib.crc32(start)
+
+
+def hashed(text: str) -> np.ndarray:
+    """words x 2"""
+    return np.array([hashes_of(w) for w in _WORD.findall(text.lower())], dtype="<u4").reshape(-1, 2)
 
 
 class Rows(dict):
-    """Word -> row of the embeddings, 0 for words without one; bounded."""
+    """Word -> its two rows of the embeddings, 0 for hashes without one; bounded."""
 
     def __init__(self, known: np.ndarray):
         super().__init__()
@@ -44,9 +53,14 @@ class Rows(dict):
     def __missing__(self, word: str) -> int:
         if len(self) > REMEMBERED:
             self.clear()
-        row = self[word] = self.of_hash.get(zlib.crc32(word.encode("utf-8", "surrogatepass")), 0)
+        a, b = hashes_of(word)
+        row = self[word] = self.of_hash.get(a, 0) << 32 | self.of_hash.get(b, 0)
         return row
 
+    def of(self, text: str) -> np.ndarray:
+        pairs = np.array([self[w] for w in _WORD.findall(text.lower())], np.int64)
+        return np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1)
+
 
 @dataclass
 class Convolution:
@@ -63,16 +77,18 @@ class Convolution:
     def pooled(self, rows: list[np.ndarray]):
         """Largest filter values of each text: texts x all filters; their places; the joined rows."""
         lengths = np.array([len(r) + _GAP for r in rows])
-        flat = np.zeros(lengths.sum() + _GAP, np.int64)
+        flat = np.zeros((lengths.sum() + _GAP, 2), np.int64)
         starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         for s, r in zip(starts, rows, strict=True):
             flat[s:s + len(r)] = r
         best, n = [], lengths.sum()
         values = []
         for w, b in zip(self.filters, self.biases, strict=True):
-            out = np.broadcast_to(b, (n, len(b))).copy()
+            out = np.broadcast_to(b.astype(np.float32), (n, len(b))).copy()
             for k in range(len(w)):
-                out += (self.embeddings @ w[k])[flat[k:k + n]]
+                through = (self.embeddings @ w[k]).astype(np.float32)
+                out += through[flat[k:k + n, 0]]
+                out += through[flat[k:k + n, 1]]
             values.append(out)
             best.append(np.maximum.reduceat(out, starts, axis=0))
         return np.maximum(np.concatenate(best, 1), 0), values, flat, starts, lengths
@@ -153,9 +169,9 @@ def _gradients(m: Convolution, rows: list[np.ndarray], y: np.ndarray) -> list:
         g = d_pooled[:, part]
         d_b.append(g.sum(0))
         for k in range(len(m.filters[j])):
-            ids = flat[at + k]
-            d_w[j][k] = np.einsum("nfs,nf->sf", m.embeddings[ids], g)
-            np.add.at(d_e, ids, g[:, :, None] * m.filters[j][k].T[None])
+            for ids in (flat[at + k, 0], flat[at + k, 1]):
+                d_w[j][k] += np.einsum("nfs,nf->sf", m.embeddings[ids], g)
+                np.add.at(d_e, ids, g[:, :, None] * m.filters[j][k].T[None])
     return [d_e, *d_w, *d_b, pooled.T @ d + 1e-4 * m.top, float(d.sum())]
 
 
@@ -176,7 +192,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, word
     """Fitted on at most `rows` labelled documents of at most `words` words outside the held-out fold."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.array(hashed(t.as_py()), dtype="<u4") for t in batch.column(2)]
+            found = [hashed(t.as_py()) for t in batch.column(2)]
             kept = pa.array([len(h) <= words for h in found], pa.bool_())
             made = pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([h.tobytes() if len(h) <= words else b"" for h in found], pa.binary())], names=["label", "lang", "hashes"])
@@ -185,7 +201,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, word
     sample = labelled_sample(documents, labels, "toxic", modulus, out, rows, F.col("lang").cast("string").alias("lang"))
     found = sample.select("label", "lang", "text").mapInArrow(read, "label int, lang string, hashes binary").collect()
     found.sort(key=lambda r: (r["label"], bytes(r["hashes"]), r["lang"] or ""))
-    hashes = [np.frombuffer(r["hashes"], dtype="<u4").astype(np.int64) for r in found]
+    hashes = [np.frombuffer(r["hashes"], dtype="<u4").astype(np.int64).reshape(-1, 2) for r in found]
     return fit(hashes, np.array([r["label"] for r in found], float), [r["lang"] for r in found])
 
 
@@ -198,7 +214,7 @@ def score_toxicity(documents: DataFrame, model: Convolution, threshold: float =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = Rows(model.known)
         for batch in batches:
-            rows = [np.array([get[w] for w in _WORD.findall(t.as_py().lower())], np.int64) for t in batch.column(2)]
+            rows = [get.of(t.as_py()) for t in batch.column(2)]
             limits = [model.thresholds.get(x, threshold) for x in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(model.score(rows), pa.float64()), pa.array(limits, pa.float64())],

@@ -6,8 +6,9 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sitegauge.llm import packing, pii_crf, quality_gam, token_cache, toxicity_cnn
+from sitegauge.llm import host_rules, licenses, mixing, packing, pii_crf, quality_gam, rp_forest, simhash_bk, token_cache, toxicity_cnn
 from sitegauge.llm.common import table, workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +41,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.score_quality(documents, model)
 
 
+@query("op3_rp_forest")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op4_pii_crf")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.find_personal_data(table(spark, sf_dir, "documents"))
@@ -52,7 +58,30 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_cnn.score_toxicity(documents, model)
 
 
+@query("op6_host_rules", host_rules.ORACLE)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.judge(table(spark, sf_dir, "documents"))
+
+
+@query("op7_mixing", mixing.ORACLE)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = mixing.OWN
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select(
+        "doc_id", "source", *(F.col(f"{own}{c}").alias(c) for c in ("n_tokens", "epoch", "block", "token_start")),
+        F.round(f"{own}weight", 6).alias("weight"))
+
+
+@query("op8_simhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_bk.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op9_token_cache")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache each time, so that its rows never depend on earlier runs."""
     return token_cache.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query("op10_licenses", licenses.oracle())
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))

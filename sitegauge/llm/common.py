@@ -49,6 +49,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def named(df: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names hold."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def whole_text(column: str = "text") -> Column:
     """The text; a null text counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitegauge.llm.common import OWN, staged, whole_text
+from sitegauge.llm.common import OWN, named, staged, whole_text
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Document rules: least words; most words in repeated windows, symbols per character, repeated lines (shares); and
@@ -125,7 +125,7 @@ def keep_good(documents: DataFrame, host: str = "source") -> DataFrame:
     facts = staged(marked.select(own_host.alias("host"), *(F.col(f"{OWN}{r}").alias(r) for r in RULES)), "host-facts")
     bad = rejected_hosts(facts, "host")
     good = marked.where(~(F.col(f"{OWN}short") | F.col(f"{OWN}repeated") | F.col(f"{OWN}symbols") | F.col(f"{OWN}dup_lines")))
-    return good.join(bad, own_host == F.col(f"{OWN}rejected_host"), "left_anti").select(*documents.columns)
+    return good.join(bad, own_host == F.col(f"{OWN}rejected_host"), "left_anti").select(*named(documents))
 
 
 ORACLE = f"""

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitegauge.llm.common import OWN, staged, whole_text
+from sitegauge.llm.common import OWN, named, staged, whole_text
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Target entropy as a share of the entropy of equal weights; most passes over a source; documents in a block; seed.
@@ -124,7 +124,7 @@ def mix(
     passes = F.ceil((c("quota") - start) / c("tokens")).cast("int")
     rows = rows.withColumn(own("start"), start).where(c("quota") > start)
     return rows.withColumn(own("epoch"), F.explode(F.sequence(F.lit(0), passes - 1))).select(
-        *documents.columns, c("n").alias(own("n_tokens")), own("epoch"), own("block"), c("start").alias(own("token_start")), own("weight"))
+        *named(documents), c("n").alias(own("n_tokens")), own("epoch"), own("block"), c("start").alias(own("token_start")), own("weight"))
 
 
 def _window(part: list[str], *order: str):
@@ -135,7 +135,7 @@ def _window(part: list[str], *order: str):
 
 def mixed_documents(documents: DataFrame) -> DataFrame:
     """The mixture with the columns of `documents`."""
-    return mix(documents).select(*documents.columns)
+    return mix(documents).select(*named(documents))
 
 
 ORACLE = f"""

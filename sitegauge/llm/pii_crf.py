@@ -443,8 +443,9 @@ def redact_documents(documents: DataFrame, tagger: Tagger | None = None) -> Data
     Null texts stay null.  An integer column n_chars, where there is one, gets the new length; it stays null if null.
     """
     tagger = tagger or train(documents)
-    fields = documents.columns
-    place = fields.index("text")
+    place = documents.columns.index("text")
+    numbered = documents.toDF(*(f"c{k}" for k in range(len(documents.columns))))  # by place: names may hold anything
+    fields = numbered.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -456,9 +457,8 @@ def redact_documents(documents: DataFrame, tagger: Tagger | None = None) -> Data
             columns[place] = pa.array(new, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=fields)
 
-    cleaned = documents.mapInArrow(run, documents.schema)
+    cleaned = numbered.mapInArrow(run, numbered.schema).toDF(*documents.columns)
     if dict(documents.dtypes).get("n_chars") in ("bigint", "int"):
-        cleaned = cleaned.withColumn(
-            "n_chars", F.when(F.col("n_chars").isNotNull() & F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars"))
-            .cast(documents.schema["n_chars"].dataType))
+        length = F.length("text").cast(documents.schema["n_chars"].dataType)
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_chars").isNotNull() & F.col("text").isNotNull(), length).otherwise(F.col("n_chars")))
     return cleaned

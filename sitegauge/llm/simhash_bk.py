@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitegauge.llm.common import OWN, staged, whole_text
+from sitegauge.llm.common import OWN, named, staged, whole_text
 from sitegauge.llm.components import connected
 
 RADIUS, SHINGLE, SEED = 2, 3, 42
@@ -173,6 +173,8 @@ def _signed(bits: list[int]) -> int:
 
 def near_links(nodes: DataFrame, shard_size: int = SHARD) -> DataFrame:
     """Links (a, b) between the distinct fingerprints `nodes` (column fp) that connect all pairs within the radius."""
+    if shard_size < 64:
+        raise ValueError("a shard below 64 fingerprints would take too many cuts")
     level = {0: ([], list(range(64)))}  # path -> bits that agree, bits that may differ
     rows, found = nodes.withColumn("path", F.lit(0)), []
     while True:
@@ -230,5 +232,5 @@ def one_of_each(documents: DataFrame, shard_size: int = SHARD) -> DataFrame:
     own_id, own_hash, rank = f"{OWN}id", f"{OWN}hash", f"{OWN}rank"
     stays = best.select(F.coalesce("best.doc_id", F.lit(-1).cast("long")).alias(own_id), F.col("best.text_hash").alias(own_hash))
     keyed = documents.withColumns({own_id: F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")), own_hash: row_hash()})
-    first = Window.partitionBy(own_id, own_hash).orderBy(F.xxhash64(*(c for c, kind in documents.dtypes if not kind.startswith("map"))))
-    return keyed.join(stays, [own_id, own_hash]).withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).select(*documents.columns)
+    first = Window.partitionBy(own_id, own_hash).orderBy(F.xxhash64(*(F.col(f"`{c}`") for c, kind in documents.dtypes if "map<" not in kind and kind != "variant")))
+    return keyed.join(stays, [own_id, own_hash]).withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).select(*named(documents))

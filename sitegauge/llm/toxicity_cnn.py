@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from sitegauge.llm.common import fold, labelled_sample, whole_text
 
 #: Bounds of the training sample: labelled documents, and words in each (longer ones are only scored).
-SAMPLE_ROWS, SAMPLE_WORDS = 12_000, 1_200
-SEEN_IN, SIZE, WIDTHS, FILTERS, EPOCHS, BATCH, BEGINNING = 5, 8, (1, 2, 3), 8, 8, 128, 5
+SAMPLE_ROWS, SAMPLE_WORDS = 8_000, 500
+SEEN_IN, SIZE, WIDTHS, FILTERS, EPOCHS, BATCH, BEGINNING = 5, 8, (1, 2, 3), 8, 5, 128, 5
 POSITIONS = 200_000  # words that are scored at once
 REMEMBERED = 400_000
 _WORD = re.compile(r"[^\W\d_]+")

@@ -144,7 +144,7 @@ DIM = f"""(SELECT c.serial_no, c.company_name, brand, website, tagline, hq_addre
   coalesce(n.product_pages, 0) AS product_pages, latitude IS NOT NULL AS has_location
   FROM {COMPANY} c LEFT JOIN {S.sql(S.COMPANY_CONTACTS)} t ON CAST(t.serial_no AS INT) = c.serial_no
   LEFT JOIN {S.sql(S.SCRAPE_STATUS)} s ON CAST(s.serial_no AS INT) = c.serial_no
-  LEFT JOIN (SELECT serial_no, {clean('coalesce(meta_description, h1, substring(body_text, 1, 200))')} AS tagline
+  LEFT JOIN (SELECT serial_no, {clean('coalesce(meta_description, h1, body_text)')} AS tagline
              FROM {CLEAN_PAGES} WHERE page_type = 'home') h ON h.serial_no = c.serial_no
   LEFT JOIN (SELECT serial_no, count(DISTINCT url) AS product_pages FROM {PRODUCTS} GROUP BY serial_no) n ON n.serial_no = c.serial_no)"""
 

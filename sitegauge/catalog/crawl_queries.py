@@ -192,7 +192,7 @@ PLAN_ROWS = S.sql(PLANNED)
 CONTACT_ROWS = f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY serial_no ORDER BY contact_order, depth, url) AS contact_rank
   FROM (SELECT *, CASE WHEN regexp_matches(relative_path, '{presets.CONTACT_FIRST_PATTERN}') THEN 0 ELSE 1 END AS contact_order FROM {PLAN_ROWS}
         WHERE page_type NOT IN ('home', 'document') AND regexp_matches(relative_path, {K.quote(presets.CONTACT_PAGE_PATTERN)})
-        AND NOT regexp_matches(relative_path, {K.quote(presets.NOT_CONTACT_PATTERN)}))) WHERE contact_rank <= 10)"""
+        AND NOT regexp_matches(relative_path, {K.quote(presets.NOT_CONTACT_PATTERN)}))))"""
 
 
 @register("contact_pages_first", f"SELECT serial_no, url, CAST(contact_rank AS INT) AS contact_rank FROM {CONTACT_ROWS}")
@@ -208,9 +208,7 @@ QUEUE = f"""(SELECT serial_no, url, page_type, depth, allowed, min(stage) AS sta
 # min(place) mixes ranks and priorities, so a contact page takes its rank again.
 ORDERED = f"""(SELECT q.serial_no, q.url, q.page_type, q.depth, q.allowed, q.stage, CASE WHEN q.stage = 0 THEN c.contact_rank ELSE q.place END AS place
   FROM {QUEUE} q LEFT JOIN {CONTACT_ROWS} c ON c.serial_no = q.serial_no AND c.url = q.url)"""
-CHOSEN = f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY serial_no ORDER BY stage, place, depth, url) AS visit_order FROM
-  (SELECT *, sum(CASE WHEN page_type = 'product' THEN 1 ELSE 0 END) OVER (PARTITION BY serial_no ORDER BY stage, place, depth, url ROWS UNBOUNDED PRECEDING) AS products
-   FROM {ORDERED} WHERE allowed) WHERE page_type <> 'product' OR products <= 80) WHERE visit_order < 100)"""
+CHOSEN = f"""(SELECT *, row_number() OVER (PARTITION BY serial_no ORDER BY stage, place, depth, url) AS visit_order FROM {ORDERED} WHERE allowed)"""
 
 
 @register("crawl_plan", f"""SELECT serial_no, url, page_type, CAST(visit_order AS INT) AS visit_order FROM {CHOSEN}
@@ -219,13 +217,7 @@ def crawl_plan(spark, sf):
     return W.crawl_plan(S.frame(spark, sf, PLANNED))
 
 
-# Replays the queue: pages taken and products taken before each closed page.
-@register("robots_skipped", f"""SELECT serial_no, count(*) AS robots_skipped FROM (SELECT *,
-    sum(CASE WHEN allowed AND page_type = 'product' THEN 1 ELSE 0 END) OVER w AS products_before,
-    sum(CASE WHEN kept THEN 1 ELSE 0 END) OVER w AS pages_before FROM
-    (SELECT o.*, v.url IS NOT NULL AS kept FROM {ORDERED} o LEFT JOIN {CHOSEN} v ON v.serial_no = o.serial_no AND v.url = o.url)
-    WINDOW w AS (PARTITION BY serial_no ORDER BY stage, place, depth, url ROWS UNBOUNDED PRECEDING))
-  WHERE NOT allowed AND pages_before < 99 AND (page_type <> 'product' OR products_before < 80) GROUP BY serial_no""")
+@register("robots_skipped", f"SELECT serial_no, count(*) AS robots_skipped FROM {ORDERED} WHERE NOT allowed GROUP BY serial_no")
 def robots_skipped(spark, sf):
     rows = S.frame(spark, sf, PLANNED)
     return W.robots_skipped(rows, W.crawl_plan(rows))
@@ -238,10 +230,10 @@ def sitemaps(spark, sf):
 
 
 FILES = S.sql(S.SITEMAPS)
-XML_ROWS = f"""(SELECT site, file_order, 0 AS position, url, '2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') AS lastmod FROM {FILES} WHERE page_id % 4 < 2
-  UNION ALL SELECT site, file_order, 1, regexp_extract(url, '^https?://[^/]+', 0) || '/start', NULL FROM {FILES} WHERE page_id % 4 < 2)"""
-TEXT_ROWS = f"""(SELECT site, file_order, 0 AS position, url, CAST(NULL AS VARCHAR) AS lastmod FROM {FILES} WHERE page_id % 4 = 3
-  UNION ALL SELECT site, file_order, 1, url || '/print', NULL FROM {FILES} WHERE page_id % 4 = 3)"""
+XML_ROWS = f"""(SELECT site, file_order, 0 AS position, url, '2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') AS lastmod FROM {FILES} WHERE error IS NULL AND page_id % 4 < 2
+  UNION ALL SELECT site, file_order, 1, regexp_extract(url, '^https?://[^/]+', 0) || '/start', NULL FROM {FILES} WHERE error IS NULL AND page_id % 4 < 2)"""
+TEXT_ROWS = f"""(SELECT site, file_order, 0 AS position, url, CAST(NULL AS VARCHAR) AS lastmod FROM {FILES} WHERE error IS NULL AND page_id % 4 = 3
+  UNION ALL SELECT site, file_order, 1, url || '/print', NULL FROM {FILES} WHERE error IS NULL AND page_id % 4 = 3)"""
 
 
 @register("parse_sitemap_entries", f"SELECT site, url, lastmod FROM {K.first_rows(XML_ROWS, 'site, url', 'file_order, position')}")
@@ -254,17 +246,15 @@ def parse_sitemap_text(spark, sf):
     return M.parse_sitemap_text(sitemaps(spark, sf)).select("site", "url", "lastmod")
 
 
-@register("parse_sitemap_index", f"SELECT site, file_order, url || '/map.xml' AS child_url FROM {FILES} WHERE page_id % 4 = 2")
+@register("parse_sitemap_index", f"SELECT site, file_order, url || '/map.xml' AS child_url FROM {FILES} WHERE error IS NULL AND page_id % 4 = 2")
 def parse_sitemap_index(spark, sf):
     return M.parse_sitemap_index(sitemaps(spark, sf)).select("site", "file_order", "child_url")
 
 
-# Small limit so that sites reach it: the fourth readable file is the last one taken.
-@register("sitemap_stats", f"""SELECT site, least(coalesce(max(CASE WHEN error IS NULL THEN ok_so_far END), 0), 4) AS sitemap_files_read,
-  coalesce(CAST(sum(CASE WHEN error IS NOT NULL AND ok_so_far < 4 THEN 1 ELSE 0 END) AS BIGINT), 0) AS sitemap_errors FROM
-  (SELECT *, CAST(sum(CASE WHEN error IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY site ORDER BY file_order ROWS UNBOUNDED PRECEDING) AS BIGINT) AS ok_so_far FROM {FILES}) GROUP BY site""")
+@register("sitemap_stats", f"""SELECT site, count(*) FILTER (WHERE error IS NULL) AS sitemap_files_read,
+  count(*) FILTER (WHERE error IS NOT NULL) AS sitemap_errors FROM {FILES} GROUP BY site""")
 def sitemap_stats(spark, sf):
-    return M.sitemap_stats(sitemaps(spark, sf), limit=4)
+    return M.sitemap_stats(sitemaps(spark, sf))
 
 
 # --- robots ----------------------------------------------------------------------------------

@@ -77,7 +77,7 @@ def join_dim_status(spark, sf):
 
 
 @register("join_dim_home", f"""SELECT c.serial_no, company_name, tagline FROM {K.COMPANY} c LEFT JOIN
-  (SELECT serial_no, {K.clean('coalesce(meta_description, h1, substring(body_text, 1, 200))')} AS tagline FROM {K.CLEAN_PAGES} WHERE page_type = 'home') t
+  (SELECT serial_no, {K.clean('coalesce(meta_description, h1, body_text)')} AS tagline FROM {K.CLEAN_PAGES} WHERE page_type = 'home') t
   ON t.serial_no = c.serial_no""")
 def join_dim_home(spark, sf):
     home = cleaned(spark, sf).where(F.col("page_type") == "home").select("serial_no", "tagline")
@@ -218,7 +218,7 @@ REPORT = f"""(SELECT serial_no, regexp_extract(relative_path, '^([^/]+(/[^/]+)?)
   FROM {K.PRODUCTS} WHERE category IS NULL GROUP BY 1, 2)"""
 
 
-@register("uncategorized_report", f"SELECT * FROM {REPORT} ORDER BY pages DESC, serial_no, path LIMIT 15")
+@register("uncategorized_report", f"SELECT * FROM {REPORT}")
 def uncategorized_report(spark, sf):
     return A.uncategorized_report(G.with_category_names(product_table(spark, sf)))
 

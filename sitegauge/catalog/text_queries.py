@@ -176,7 +176,7 @@ def label_map(spark, sf):
     return S.frame(spark, sf, S.SCRAPE_STATUS).select("serial_no", X.label_map("status", presets.DATA_NOTES).alias("note"))
 
 
-@register("tagline", f"""SELECT doc_id, {K.clean('coalesce(meta_description, h1, substring(body_text, 1, 200))')} AS tagline
+@register("tagline", f"""SELECT doc_id, {K.clean('coalesce(meta_description, h1, body_text)')} AS tagline
   FROM {S.sql(S.SITE_PAGES)}""")
 def tagline(spark, sf):
     return S.frame(spark, sf, S.SITE_PAGES).select("doc_id", X.tagline("meta_description", "h1", "body_text").alias("tagline"))

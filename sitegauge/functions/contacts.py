@@ -71,7 +71,7 @@ def extract_text_addresses(text, states: dict = presets.US_STATES) -> Column:
 def extract_jsonld_phones(blocks) -> Column:
     def phones(block):
         raw = F.regexp_extract_all(block, F.lit(presets.JSON_LD_PHONE_PATTERN), F.lit(1))
-        context = clip_text(block, presets.JSON_LD_CONTEXT_CHARS)
+        context = clip_text(block)
         return F.transform(raw, lambda p: _contact(format_phone(p), context, "json_ld"))
 
     return _valid(F.flatten(F.transform(as_col(blocks), phones)))
@@ -85,20 +85,22 @@ def extract_jsonld_addresses(blocks, states: dict = presets.US_STATES) -> Column
         city = F.nullif(F.regexp_extract(block, presets.JSON_LD_LOCALITY_PATTERN, 1), F.lit(""))
         tail = F.concat(state_code(region, states), F.lit(" "), postal)
         value = F.coalesce(F.concat(city, F.lit(", "), tail), tail)
-        return _contact(value, clip_text(block, presets.JSON_LD_CONTEXT_CHARS), "json_ld")
+        return _contact(value, clip_text(block), "json_ld")
 
     return _valid(F.transform(as_col(blocks), address))
 
 
-def contacts_first_wins(candidates, keep: int = presets.MAX_CONTACTS_PER_PAGE) -> Column:
-    """First candidate of each value, in order, at most `keep` values.
+def contacts_first_wins(candidates, keep: int | None = None) -> Column:
+    """First candidate of each value, in order; with `keep`, of the first `keep` values.
 
-    Distinct values first, then one lookup per kept value: linear in the candidates.  The
-    candidates are bound to a lambda variable, so they are computed once per page."""
+    Candidates are sorted by value and place, the first of each run stays, and those are sorted by
+    place again.  Each step is bound to a lambda variable, so it is computed once per page."""
     def choose(found):
-        first = F.slice(F.array_distinct(F.transform(found, lambda c: c["value"])), 1, keep)
-        return F.transform(first, lambda v: F.get(
-            found, (F.array_position(F.transform(found, lambda c: c["value"]), v) - 1).cast("int")))
+        placed = F.array_sort(F.transform(found, lambda c, i: F.struct(c["value"].alias("v"), i.alias("i"))))
+        firsts = F.get(F.transform(F.array(placed), lambda p: F.filter(
+            p, lambda x, k: (k == 0) | (F.get(p, k - 1)["v"] != x["v"]))), F.lit(0))
+        order = F.array_sort(F.transform(firsts, lambda x: x["i"]))
+        return F.transform(order if keep is None else F.slice(order, 1, keep), lambda i: F.get(found, i))
 
     return F.get(F.transform(F.array(as_col(candidates)), choose), F.lit(0))
 

@@ -91,19 +91,19 @@ def markup_of(html) -> Column:
     return without_blocks(without_comments(html), CODE_TAGS)
 
 
-def title_of(markup, limit: int = 500) -> Column:
+def title_of(markup, limit: int | None = None) -> Column:
     return clip_text(unescape(_element(markup, "title")), limit)
 
 
-def h1_of(markup, limit: int = 500) -> Column:
+def h1_of(markup, limit: int | None = None) -> Column:
     return clip_text(tag_text(_element(markup, "h1")), limit)
 
 
-def html_title(html, limit: int = 500) -> Column:
+def html_title(html, limit: int | None = None) -> Column:
     return title_of(markup_of(html), limit)
 
 
-def html_h1(html, limit: int = 500) -> Column:
+def html_h1(html, limit: int | None = None) -> Column:
     return h1_of(markup_of(html), limit)
 
 
@@ -115,7 +115,7 @@ def attribute(tag, name: str) -> Column:
     return F.when(text.rlike(pattern), unescape(value))
 
 
-def meta_description_of(markup, limit: int = 1000) -> Column:
+def meta_description_of(markup, limit: int | None = None) -> Column:
     metas = F.regexp_extract_all(as_col(markup), F.lit(r"(?is)<meta(?=[\s>/])[^>]*>"), F.lit(0))
     named = F.filter(metas, lambda m: m.rlike(r"(?i)\sname\s*=\s*[\"']?description(?=[\"'\s/>])"))
     graph = F.filter(metas, lambda m: m.rlike(r"(?i)\sproperty\s*=\s*[\"']?og:description(?=[\"'\s/>])"))
@@ -123,20 +123,21 @@ def meta_description_of(markup, limit: int = 1000) -> Column:
     return clip_text(attribute(chosen, "content"), limit)
 
 
-def html_meta_description(html, limit: int = 1000) -> Column:
+def html_meta_description(html, limit: int | None = None) -> Column:
     """Content of meta description, else of og:description."""
     return meta_description_of(markup_of(html), limit)
 
 
-def json_ld_blocks(html, chars: int = presets.MAX_JSON_LD_CHARS) -> Column:
-    """All JSON-LD script bodies, clipped, empty ones dropped.  Needs the scripts of the page."""
+def json_ld_blocks(html, chars: int | None = None) -> Column:
+    """All JSON-LD script bodies, empty ones dropped.  Needs the scripts of the page."""
     pattern = r"(?is)<script(?=[^>]*\stype\s*=\s*[\"']?application/ld\+json)[^>]*>(.*?)(?:</script\s*>|\z)"
     bodies = F.regexp_extract_all(without_comments(html), F.lit(pattern), F.lit(1))
     return F.filter(F.transform(bodies, lambda b: clip_text(b, chars)), lambda b: b.isNotNull())
 
 
-def html_json_ld(html, keep: int = presets.MAX_JSON_LD_BLOCKS) -> Column:
-    return F.slice(json_ld_blocks(html), 1, keep)
+def html_json_ld(html, keep: int | None = None) -> Column:
+    blocks = json_ld_blocks(html)
+    return blocks if keep is None else F.slice(blocks, 1, keep)
 
 
 def hrefs_of(markup) -> Column:
@@ -177,14 +178,14 @@ def html_main_text(html) -> Column:
     return text_of_markup(main_markup(html))
 
 
-def headings_of_markup(markup, keep: int = 50, chars: int = 300) -> Column:
+def headings_of_markup(markup, keep: int | None = None, chars: int | None = None) -> Column:
     pattern = r"(?is)<(h[23])(?=[\s>/])[^>]*>(.*?)(?:</\1\s*>|\z)"
     bodies = F.regexp_extract_all(as_col(markup), F.lit(pattern), F.lit(2))
     texts = F.filter(F.transform(bodies, lambda b: clip_text(tag_text(b), chars)), lambda t: t.isNotNull())
-    return F.slice(texts, 1, keep)
+    return texts if keep is None else F.slice(texts, 1, keep)
 
 
-def html_headings(html, keep: int = 50, chars: int = 300) -> Column:
+def html_headings(html, keep: int | None = None, chars: int | None = None) -> Column:
     return headings_of_markup(main_markup(html), keep, chars)
 
 

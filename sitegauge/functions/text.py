@@ -23,9 +23,10 @@ def squeeze(c) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(as_col(c), F.lit("")), UNICODE_SPACES, " "))
 
 
-def clip_text(c, limit: int) -> Column:
-    """Squeezed text cut to `limit` characters; null when nothing is left."""
-    return F.nullif(F.substring(squeeze(c), 1, limit), F.lit(""))
+def clip_text(c, limit: int | None = None) -> Column:
+    """Squeezed text, whole or cut to `limit` characters; null when nothing is left."""
+    text = squeeze(c)
+    return F.nullif(text if limit is None else F.substring(text, 1, limit), F.lit(""))
 
 
 def word_count(c) -> Column:
@@ -52,8 +53,9 @@ def label_map(c, labels: dict) -> Column:
     return F.coalesce(F.element_at(F.create_map(*pairs), as_col(c)), as_col(c))
 
 
-def tagline(description, heading, text, chars: int = 200) -> Column:
-    lead = F.substring(as_col(text), 1, chars)
+def tagline(description, heading, text, chars: int | None = None) -> Column:
+    """Description, else heading, else the text, whole or its first `chars` characters."""
+    lead = as_col(text) if chars is None else F.substring(as_col(text), 1, chars)
     return clean_text(F.coalesce(as_col(description), as_col(heading), lead))
 
 

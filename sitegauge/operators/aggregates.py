@@ -46,9 +46,10 @@ def share_of_partition(df: DataFrame, value: str, group: str, out: str, spread=(
 
     The totals come from an aggregation, which combines before the shuffle, and go back over a
     salted join: no task has to hold a whole group, as it would with a window."""
-    totals = df.groupBy(group).agg(F.sum(value).alias("_total"))
-    return (lookup_join(df, totals, group, how or "inner", spread=spread)
-            .withColumn(out, F.try_divide(F.col(value), F.col("_total"))).drop("_total"))
+    key = F.struct(group).alias("_group")  # structs of nulls are equal: rows without a group are one
+    totals = df.groupBy(group).agg(F.sum(value).alias("_total")).select(key, "_total")
+    return (lookup_join(df.select("*", key), totals, "_group", how or "inner", spread=spread)
+            .withColumn(out, F.try_divide(F.col(value), F.col("_total"))).drop("_total", "_group"))
 
 
 def dense_grid(df: DataFrame, cells: list) -> DataFrame:
@@ -98,12 +99,12 @@ def news_years(as_of_year: int, span: int = presets.NEWS_YEAR_SPAN) -> list:
 
 
 def uncategorized_report(products: DataFrame, site: str = "serial_no", path: str = "relative_path",
-                         n: int = 15) -> DataFrame:
-    """Most frequent first two path parts among the product pages without a category."""
+                         n: int | None = None) -> DataFrame:
+    """First two path parts of the product pages without a category, most frequent first; with `n`, the first n."""
     head = F.regexp_extract(path, r"^([^/]+(/[^/]+)?)", 1).alias("path")
-    return (products.where(F.col("category").isNull()).groupBy(site, head)
-            .agg(F.count("*").alias("pages"))
-            .orderBy(F.desc("pages"), site, "path").limit(n))
+    report = (products.where(F.col("category").isNull()).groupBy(site, head)
+              .agg(F.count("*").alias("pages")).orderBy(F.desc("pages"), site, "path"))
+    return report if n is None else report.limit(n)
 
 
 def uncategorized_totals(products: DataFrame) -> DataFrame:

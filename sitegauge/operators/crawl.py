@@ -57,13 +57,16 @@ def frontier_expand(links: DataFrame, known: DataFrame, sites: DataFrame, site:
         site, "url", "url_key", "relative_path", "page_type", "section", "category", "depth", "lastmod", "source")
 
 
-def contact_pages_first(inventory: DataFrame, site: str = "serial_no", k: int = presets.MAX_CONTACT_PAGES) -> DataFrame:
-    """The k pages of a site that most likely carry its address and phone number, in visit order."""
+def contact_pages_first(inventory: DataFrame, site: str = "serial_no", k: int | None = None) -> DataFrame:
+    """The pages of a site that most likely carry its address and phone number, in visit order; with `k`, the first k."""
     path = F.col("relative_path")
     likely = (inventory.where(~F.col("page_type").isin("home", "document"))
               .where(path.rlike(presets.CONTACT_PAGE_PATTERN) & ~path.rlike(presets.NOT_CONTACT_PATTERN))
               .withColumn("contact_order", F.when(path.rlike(presets.CONTACT_FIRST_PATTERN), 0).otherwise(1)))
-    return per_group_top_k(likely, [site], ["contact_order", "depth", "url"], k, rank="contact_rank", spread=["url"])
+    order = ["contact_order", "depth", "url"]
+    if k is None:
+        return likely.withColumn("contact_rank", F.row_number().over(Window.partitionBy(site).orderBy(*order)))
+    return per_group_top_k(likely, [site], order, k, rank="contact_rank", spread=["url"])
 
 
 def _type_priority():
@@ -73,39 +76,47 @@ def _type_priority():
     return chosen
 
 
-def crawl_plan(inventory: DataFrame, site: str = "serial_no", max_pages: int = presets.MAX_PAGES_PER_SITE,
-               max_products: int = presets.MAX_PRODUCT_PAGES, max_contacts: int = presets.MAX_CONTACT_PAGES) -> DataFrame:
+def crawl_plan(inventory: DataFrame, site: str = "serial_no", max_pages: int | None = None,
+               max_products: int | None = None, max_contacts: int | None = None) -> DataFrame:
     """Pages to visit with their visit order; 0 is the start page.
 
-    Contact pages come first, then the types by priority, each by depth and address; product pages
-    and all pages are capped.  Only the first max_pages + max_contacts rows of a site and type can
-    be chosen, so they are cut out first, before the shuffle, and the running counts see a few
-    hundred rows per site.  An optional boolean column `allowed` keeps pages out that robots rules
-    close."""
+    Contact pages come first, then the types by priority, each by depth and address.  Without
+    limits the whole order is returned.  With a page budget only the first max_pages + max_contacts
+    rows of a site and type can be chosen, so they are cut out before the shuffle.  An optional
+    boolean column `allowed` keeps pages out that robots rules close; a site whose start page is
+    closed is not visited.  The start page is the row whose url_key is the optional column
+    start_key, else the home page with the least depth and address: one row per site."""
     rows = inventory if "allowed" in inventory.columns else inventory.withColumn("allowed", F.lit(True))
+    is_start = F.col("page_type") == "home"
+    if "start_key" in rows.columns:
+        is_start = F.when(F.col("start_key").isNotNull(), F.col("url_key") == F.col("start_key")).otherwise(is_start)
+    starts = first_per_group(rows.where(is_start), [site], ["depth", "url"])
     rows = rows.select(site, "url", "url_key", "relative_path", "page_type", "depth", "allowed")
-    start = rows.where(F.col("page_type") == "home").select(
-        site, "url", "page_type", F.lit(0).alias("visit_order"))
+    rows = rows.join(starts.where(~F.col("allowed")).select(site), site, "left_anti")
+    start = starts.where("allowed").select(site, "url", "page_type", F.lit(0).alias("visit_order"))
+    rows = rows.join(start.select(site, "url"), [site, "url"], "left_anti")
     contacts = contact_pages_first(rows, site, max_contacts).where("allowed").select(
         site, "url", "page_type", F.lit(0).alias("_stage"), F.col("contact_rank").alias("_place"), "depth")
     typed = rows.where("allowed").withColumn("_place", _type_priority()).where(F.col("_place").isNotNull())
-    queued = per_group_top_k(typed, [site, "_place"], ["depth", "url"], max_pages + max_contacts, rank="_n",
-                             spread=["url"]).select(
-        site, "url", "page_type", F.lit(1).alias("_stage"), "_place", "depth")
+    if max_pages is not None and max_contacts is not None:
+        typed = per_group_top_k(typed, [site, "_place"], ["depth", "url"], max_pages + max_contacts, rank="_n", spread=["url"])
+    queued = typed.select(site, "url", "page_type", F.lit(1).alias("_stage"), "_place", "depth")
     order = ["_stage", "_place", "depth", "url"]
-    once = first_per_group(contacts.unionByName(queued), [site, "url"], ["_stage"])
-    running = Window.partitionBy(site).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    is_product = F.col("page_type") == "product"
-    capped = (once.withColumn("_products", F.sum(is_product.cast("int")).over(running))
-              .where(~is_product | (F.col("_products") <= max_products)))
-    numbered = capped.withColumn("visit_order", F.row_number().over(Window.partitionBy(site).orderBy(*order)))
-    chosen = numbered.where(F.col("visit_order") < max_pages).select(site, "url", "page_type", "visit_order")
-    return start.unionByName(chosen)
+    chosen = first_per_group(contacts.unionByName(queued), [site, "url"], ["_stage"])
+    if max_products is not None:
+        running = Window.partitionBy(site).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        is_product = F.col("page_type") == "product"
+        chosen = (chosen.withColumn("_products", F.sum(is_product.cast("int")).over(running))
+                  .where(~is_product | (F.col("_products") <= max_products)))
+    numbered = chosen.withColumn("visit_order", F.row_number().over(Window.partitionBy(site).orderBy(*order)))
+    if max_pages is not None:
+        numbered = numbered.where(F.col("visit_order") < max_pages)
+    return start.unionByName(numbered.select(site, "url", "page_type", "visit_order"))
 
 
 def robots_skipped(inventory: DataFrame, plan: DataFrame, site: str = "serial_no",
-                   max_pages: int = presets.MAX_PAGES_PER_SITE,
-                   max_products: int = presets.MAX_PRODUCT_PAGES) -> DataFrame:
+                   max_pages: int | None = None, max_products: int | None = None,
+                   max_contacts: int | None = None) -> DataFrame:
     """Pages per site that robots rules closed before the crawl reached a cap.
 
     A closed contact page always counts: contact pages come before any cap.  A closed queued page
@@ -116,12 +127,15 @@ def robots_skipped(inventory: DataFrame, plan: DataFrame, site: str = "serial_no
                .withColumn("_at", place).groupBy(site).agg(
         F.count("*").alias("_pages"), F.count_if(F.col("page_type") == "product").alias("_products"),
         F.max("_at").alias("_last"), F.max(F.when(F.col("page_type") == "product", F.col("_at"))).alias("_last_product")))
-    contacts = contact_pages_first(kept, site).where(~F.col("allowed")).select(site, "url", F.lit(True).alias("_contact"))
+    contacts = contact_pages_first(kept, site, max_contacts).where(~F.col("allowed")).select(site, "url", F.lit(True).alias("_contact"))
     closed = kept.where(~F.col("allowed")).withColumn("_at", place).where(F.col("_at.place").isNotNull())
     seen = lookup_join(closed.join(contacts, [site, "url"], "left"), reached, site, "left", spread=["url"])
-    open_end = F.coalesce(F.col("_pages") < max_pages - 1, F.lit(True)) | (F.col("_at") < F.col("_last"))
-    open_product = ((F.col("page_type") != "product") | F.coalesce(F.col("_products") < max_products, F.lit(True))
-                    | (F.col("_at") < F.col("_last_product")))
+    open_end = open_product = F.lit(True)
+    if max_pages is not None:
+        open_end = F.coalesce(F.col("_pages") < max_pages - 1, F.lit(True)) | (F.col("_at") < F.col("_last"))
+    if max_products is not None:
+        open_product = ((F.col("page_type") != "product") | F.coalesce(F.col("_products") < max_products, F.lit(True))
+                        | (F.col("_at") < F.col("_last_product")))
     return (seen.where(F.coalesce("_contact", F.lit(False)) | (open_end & open_product))
             .groupBy(site).agg(F.count("*").alias("robots_skipped")))
 
@@ -190,8 +204,8 @@ def scrape_status(sites: DataFrame, log: DataFrame, inventory: DataFrame | None
     if skipped is not None:
         facts = facts.join(skipped, site, "left")
     if policy is not None:
-        facts = facts.join(policy.select(F.col("host").alias("_robots_host"), "robots_http_status", "verdict", "rules"),
-                           F.regexp_extract("base_url", r"//([^/]*)", 1) == F.col("_robots_host"), "left")
+        facts = facts.join(policy.select(F.lower("host").alias("_robots_host"), "robots_http_status", "verdict", "rules"),
+                           F.lower(F.regexp_extract("base_url", r"//([^/]*)", 1)) == F.col("_robots_host"), "left")
         facts = facts.withColumn("robots_denied", ~allowed("start_url", "verdict", "rules"))
     for name in ("urls_found", "sitemap_files_read", "sitemap_errors", "robots_skipped"):
         if name not in facts.columns:

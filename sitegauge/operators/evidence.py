@@ -44,13 +44,18 @@ def earliest_founding(pages: DataFrame, years: Column, as_of_year: int, min_year
 
 
 def geo_lookup(addresses: DataFrame, gazetteer: DataFrame, spread=("serial_no",)) -> DataFrame:
-    """Coordinates by ZIP code; an entry that lies in another state does not count."""
-    entries = gazetteer.select("zip", F.col("state").alias("_gaz_state"), "latitude", "longitude",
-                               "geocoded_city", "geocoded_place")
-    joined = lookup_join(addresses, entries, "zip", "left", spread=spread)
-    fits = F.coalesce(F.upper("_gaz_state"), F.col("state")) == F.col("state")
+    """Coordinates by ZIP code; an entry that lies in another state does not count.
+
+    The gazetteer is first reduced to one row per ZIP code that holds one place per state, so no
+    address is doubled.  The place of the address's own state comes before one without a state."""
     columns = ["latitude", "longitude", "geocoded_city", "geocoded_place"]
-    return joined.select(*addresses.columns, *[F.when(fits, F.col(c)).alias(c) for c in columns])
+    places = (gazetteer.groupBy("zip", F.upper("state").alias("_state")).agg(F.min(F.struct(*columns)).alias("_at"))
+              .groupBy("zip").agg(F.collect_list(F.struct("_state", "_at")).alias("_places")))
+    joined = lookup_join(addresses, places, "zip", "left", spread=spread)
+    own = F.get(F.filter("_places", lambda p: p["_state"] == F.col("state")), F.lit(0))
+    any_state = F.get(F.filter("_places", lambda p: p["_state"].isNull() & F.col("state").isNotNull()), F.lit(0))
+    place = F.coalesce(own, any_state)["_at"]
+    return joined.select(*addresses.columns, *[place[c].alias(c) for c in columns])
 
 
 def known_locations(previous: DataFrame) -> DataFrame:

@@ -3,10 +3,13 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
 
+def salts_of(df: DataFrame) -> int:
+    """Buckets that a hot key is spread over: a quarter of the session's shuffle partitions."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, on, how: str = "left", spread=(), salts: int = SALTS) -> DataFrame:
+
+def lookup_join(facts: DataFrame, lookup: DataFrame, on, how: str = "left", spread=(), salts: int | None = None) -> DataFrame:
     """Join a large table to a table with at most one row per key.
 
     The facts of a key are spread over `salts` buckets by a hash of the `spread` columns, and each
@@ -14,6 +17,7 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on, how: str = "left", spre
     is forced: Spark broadcasts the lookup when its size is under the session's threshold, and
     beyond that the salted shuffle join runs."""
     keys = [on] if isinstance(on, str) else list(on)
+    salts = salts_of(facts) if salts is None else salts
     if not spread or salts <= 1:
         return facts.join(lookup, keys, how)
     bucket = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 16
+from sitegauge.operators.joins import salts_of
 
 
 def first_per_group(df: DataFrame, keys, order) -> DataFrame:
@@ -16,11 +16,12 @@ def first_per_group(df: DataFrame, keys, order) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def per_group_top_k(df: DataFrame, keys, order, k: int, rank: str = "rank", spread=(), salts: int = SALTS) -> DataFrame:
+def per_group_top_k(df: DataFrame, keys, order, k: int, rank: str = "rank", spread=(), salts: int | None = None) -> DataFrame:
     """The first k rows of each group with their rank.
 
     With `spread` columns the groups are first cut to k inside `salts` buckets, so the k rows that
     every map task keeps of a hot group are merged by several tasks, not one."""
+    salts = salts_of(df) if salts is None else salts
     if spread and salts > 1:
         bucket = F.pmod(F.xxhash64(*spread), F.lit(salts))
         w = Window.partitionBy(*keys, "_salt").orderBy(*order)

@@ -14,6 +14,7 @@ def running_streak(df: DataFrame, keys, order, flag: Column, chunk: Column, out:
     chunk, one summary row per chunk carries the open run over the border, and the rows before the
     first break of a chunk add what was carried in."""
     keys = list(keys)
+    columns = df.columns
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     rows = (
         df.withColumn("_chunk", chunk)
@@ -36,12 +37,13 @@ def running_streak(df: DataFrame, keys, order, flag: Column, chunk: Column, out:
         .withColumn("_open", F.sum("_tail").over(
             Window.partitionBy(*keys, "_run").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_carry", F.coalesce(F.last("_open").over(before), F.lit(0)))
-        .select(*keys, "_chunk", "_carry")
+        .select(F.struct(*keys, "_chunk").alias("_place"), "_carry")
     )
-    joined = rows.join(carried, keys + ["_chunk"])
+    # structs of nulls are equal: rows without a key or an order keep their run
+    joined = rows.withColumn("_place", F.struct(*keys, "_chunk")).join(carried, "_place")
     total = F.col("_local") + F.when(F.col("_break").isNull(), F.col("_carry")).otherwise(F.lit(0))
     return (joined.withColumn(out, F.when(F.col("_flag"), total).otherwise(F.lit(0)).cast("bigint"))
-            .drop("_chunk", "_flag", "_pos", "_break", "_local", "_carry"))
+            .select(*columns, out))
 
 
 def hard_failure(fetch_status: str = "fetch_status", http_status: str = "http_status") -> Column:

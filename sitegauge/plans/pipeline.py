@@ -57,8 +57,9 @@ def build_silver(spark: SparkSession, database: str, companies: DataFrame, site_
         "page_type", F.when(F.col("visit_order") == 0, F.lit("home")).otherwise(F.coalesce("page_type", F.lit("other"))))
     log = kept(typed.select("serial_no", "url", "page_type", "visit_order", "fetch_status", "http_status", "word_count",
                             "error", "scraped_at"), "crawl_log")
-    plan = kept(crawl.crawl_plan(inventory), "crawl_plan")
-    skipped = crawl.robots_skipped(inventory, plan)
+    limits = {"max_pages": presets.MAX_PAGES_PER_SITE, "max_products": presets.MAX_PRODUCT_PAGES, "max_contacts": presets.MAX_CONTACT_PAGES}
+    plan = kept(crawl.crawl_plan(inventory, **limits), "crawl_plan")
+    skipped = crawl.robots_skipped(inventory, plan, **limits)
     status = crawl.scrape_status(sites, log, inventory, policy, sitemaps.sitemap_stats(sitemap_files, "serial_no"), skipped)
     tables.overwrite_table(status, f"{database}.scrape_status")
     tables.guard_any_success(spark.table(f"{database}.scrape_status"))

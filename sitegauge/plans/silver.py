@@ -48,9 +48,9 @@ def extract_pages(fetched: DataFrame) -> DataFrame:
         H.fetch_status("http_status", "content_type", F.coalesce(H.captcha_flag("title", "_text", "_words"), F.lit(False))).alias("fetch_status"),
         "title", H.meta_description_of("_markup").alias("meta_description"), H.h1_of("_markup").alias("h1"),
         F.coalesce(H.headings_of_markup("_main"), no_strings).alias("headings"),
-        F.nullif(F.substring("_text", 1, presets.MAX_TEXT_CHARS), F.lit("")).alias("body_text"),
+        F.nullif("_text", F.lit("")).alias("body_text"),
         F.coalesce("_words", F.lit(0)).alias("word_count"),
-        F.slice("_blocks", 1, presets.MAX_JSON_LD_BLOCKS).alias("json_ld"),
+        F.col("_blocks").alias("json_ld"),
         C.page_phones("_visible", "_links", "_blocks").alias("contact_phones"),
         C.page_addresses("_visible", "_blocks").alias("contact_addresses"),
         F.coalesce(internal_link_count("_links", F.col("base_url")), F.lit(0)).alias("internal_link_count"),

@@ -8,15 +8,10 @@ industry or country only needs other values, not other code.
 MAX_PAGES_PER_SITE = 100
 MAX_PRODUCT_PAGES = 80
 MAX_CONTACT_PAGES = 10
-MAX_SITEMAP_FILES = 150
 MAX_CONSECUTIVE_FAILURES = 5
 EMPTY_PAGE_WORDS = 20
 EMPTY_PAGES_BEFORE_SKIP = 10
-MAX_TEXT_CHARS = 50_000
-MAX_CONTACTS_PER_PAGE = 20
 CONTACT_CONTEXT_CHARS = 80
-MAX_JSON_LD_BLOCKS = 3
-MAX_JSON_LD_CHARS = 10_000
 JS_RENDERED_MEDIAN_WORDS = 50
 MAX_FAILED_SHARE = 0.2
 CAPTCHA_MAX_WORDS = 300
@@ -289,7 +284,6 @@ JSON_LD_PHONE_PATTERN = r'"telephone"\s*:\s*"([^"]+)"'
 JSON_LD_POSTAL_PATTERN = r'"postalCode"\s*:\s*"(\d{5})'
 JSON_LD_REGION_PATTERN = r'"addressRegion"\s*:\s*"([^"]+)"'
 JSON_LD_LOCALITY_PATTERN = r'"addressLocality"\s*:\s*"([^"]+)"'
-JSON_LD_CONTEXT_CHARS = 300
 
 HQ_PATTERN = (
     r"(?i)head\s*quarters?|head office|corporate (?:office|offices|hq|campus)|main office|global hq|\bhq\b"

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 from sitegauge import presets
 from sitegauge.functions.html import unescape
 from sitegauge.operators.joins import lookup_join
-from sitegauge.operators.ranking import per_group_top_k
+from sitegauge.operators.ranking import first_per_group, per_group_top_k
+
+
+def fetched(files: DataFrame) -> DataFrame:
+    """Files that were read: a file whose fetch failed has no addresses."""
+    if "error" in files.columns:
+        files = files.where(F.col("error").isNull())
+    return files
 
 
 def is_index(text="text"):
@@ -23,7 +30,7 @@ def is_url_list(text="text"):
 def parse_sitemap_index(files: DataFrame, site: str = "site") -> DataFrame:
     """Child sitemaps that index files name."""
     locations = F.regexp_extract_all("text", F.lit(presets.SITEMAP_LOC_PATTERN), F.lit(1))
-    return (files.where(is_index())
+    return (fetched(files).where(is_index())
             .select(site, "file_order", F.posexplode(locations).alias("position", "raw"))
             .select(site, "file_order", "position", unescape("raw").alias("child_url")))
 
@@ -38,7 +45,7 @@ def _first_wins(entries: DataFrame, site: str) -> DataFrame:
 def parse_sitemap_entries(files: DataFrame, site: str = "site") -> DataFrame:
     """(url, lastmod) of XML sitemaps; the first mention of an address wins."""
     blocks = F.regexp_extract_all("text", F.lit(presets.SITEMAP_BLOCK_PATTERN), F.lit(1))
-    rows = (files.where(is_url_list())
+    rows = (fetched(files).where(is_url_list())
             .select(site, "file_order", F.posexplode(blocks).alias("position", "block"))
             .where(F.col("block").rlike(presets.SITEMAP_LOC_PATTERN)))
     lastmod = F.when(F.col("block").rlike(presets.SITEMAP_LASTMOD_PATTERN),
@@ -51,7 +58,7 @@ def parse_sitemap_entries(files: DataFrame, site: str = "site") -> DataFrame:
 def parse_sitemap_text(files: DataFrame, site: str = "site") -> DataFrame:
     """Addresses of plain-text sitemaps, one http line each."""
     lines = F.split("text", r"\r\n|[\n\r]")
-    rows = (files.where(~is_index() & ~F.col("text").contains("<urlset"))
+    rows = (fetched(files).where(~is_index() & ~F.col("text").contains("<urlset"))
             .select(site, "file_order", F.posexplode(lines).alias("position", "line"))
             .select(site, "file_order", "position", F.btrim("line").alias("url"),
                     F.lit(None).cast("string").alias("lastmod"))
@@ -65,20 +72,24 @@ def sitemap_entries(files: DataFrame, site: str = "site") -> DataFrame:
     return _first_wins(found, site)
 
 
-def read_files(files: DataFrame, site: str = "site", limit: int = presets.MAX_SITEMAP_FILES) -> DataFrame:
-    """The files a crawl takes: the first `limit` readable ones of each site."""
-    return per_group_top_k(files.where(F.col("error").isNull()), [site], ["file_order"], limit,
-                           rank="read_rank", spread=["file_order"])
+def read_files(files: DataFrame, site: str = "site", limit: int | None = None) -> DataFrame:
+    """The files a crawl takes: all readable ones of each site, or the first `limit`; a repeated address counts once."""
+    once = files.where(F.col("error").isNull())
+    if "file_url" in files.columns:
+        once = first_per_group(once, [site, F.coalesce("file_url", F.col("file_order").cast("string"))], ["file_order"])
+    return once if limit is None else per_group_top_k(once, [site], ["file_order"], limit, rank="read_rank", spread=["file_order"])
 
 
-def sitemap_stats(files: DataFrame, site: str = "site", limit: int = presets.MAX_SITEMAP_FILES) -> DataFrame:
-    """Files read and files that failed before the limit was reached, per site."""
-    taken = read_files(files.select(site, "file_order", "error"), site, limit)
-    read = taken.groupBy(site).agg(F.count("*").alias("sitemap_files_read"), F.max("file_order").alias("_last"))
+def sitemap_stats(files: DataFrame, site: str = "site", limit: int | None = None) -> DataFrame:
+    """Files read and files that failed per site; with `limit`, those that failed before it was reached."""
+    kept = [c for c in (site, "file_url", "file_order", "error") if c in files.columns]
+    read = read_files(files.select(*kept), site, limit).groupBy(site).agg(
+        F.count("*").alias("sitemap_files_read"), F.max("file_order").alias("_last"))
     failed = files.where(F.col("error").isNotNull()).groupBy(site, "file_order").agg(F.count("*").alias("_n"))
-    counted = (lookup_join(failed, read, site, "left", spread=["file_order"])
-               .where(F.coalesce(F.col("sitemap_files_read") < limit, F.lit(True)) | (F.col("file_order") < F.col("_last")))
-               .groupBy(site).agg(F.sum("_n").alias("sitemap_errors")))
+    if limit is not None:
+        failed = lookup_join(failed, read, site, "left", spread=["file_order"]).where(
+            F.coalesce(F.col("sitemap_files_read") < limit, F.lit(True)) | (F.col("file_order") < F.col("_last")))
+    counted = failed.groupBy(site).agg(F.sum("_n").alias("sitemap_errors"))
     return (files.select(site).distinct().join(read, site, "left").join(counted, site, "left")
             .select(site, F.coalesce("sitemap_files_read", F.lit(0)).alias("sitemap_files_read"),
                     F.coalesce("sitemap_errors", F.lit(0)).alias("sitemap_errors")))

@@ -55,12 +55,8 @@ def ingest_landing(spark: SparkSession, path: str, columns: dict = presets.LANDI
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet table.  A table of fewer files than cores would be read, and all work on its rows
-    done, by as few tasks as it has row groups; its rows are dealt out to all cores first.  A table
-    of many files is left as it is."""
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    """Parquet table as it is; the session's split size decides how many tasks read it."""
+    return spark.read.parquet(path)
 
 
 def read_table(spark: SparkSession, name: str, columns=None) -> DataFrame:

@@ -5,6 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from sitegauge.functions import contacts as C
+from sitegauge.functions import html as H
 from sitegauge.operators import aggregates as A
 from sitegauge.operators import crawl as W
 from sitegauge.operators import evidence as E
@@ -52,7 +54,8 @@ def plan_input(spark, products, contacts, others):
 
 @pytest.mark.parametrize("parts", [1, 5])
 def test_crawl_plan_caps(spark, parts):
-    got = {r.visit_order: r.page_type for r in W.crawl_plan(plan_input(spark, 100, 12, 30).repartition(parts)).collect()}
+    got = {r.visit_order: r.page_type for r in W.crawl_plan(
+        plan_input(spark, 100, 12, 30).repartition(parts), max_pages=100, max_products=80, max_contacts=10).collect()}
     assert len(got) == 100 and got[0] == "home"
     assert [got[i] for i in range(1, 11)] == ["about"] * 10
     assert sum(t == "product" for t in got.values()) == 80
@@ -63,6 +66,60 @@ def test_crawl_plan_small_site(spark):
     assert W.crawl_plan(plan_input(spark, 2, 1, 1)).count() == 5
 
 
+def test_crawl_plan_without_limits_is_the_whole_order(spark):
+    got = W.crawl_plan(plan_input(spark, 100, 12, 30)).collect()
+    assert sorted(r.visit_order for r in got) == list(range(143))
+
+
+def test_crawl_plan_has_one_start_page(spark):
+    two = plan_input(spark, 2, 1, 1).unionByName(spark.createDataFrame(
+        [("s", "u/en", "u/en", "en", "home", 1)], "serial_no string, url string, url_key string, relative_path string, page_type string, depth int"))
+    start = [r.url for r in W.crawl_plan(two).where("visit_order = 0").collect()]
+    assert start == ["u/"]
+    keyed = two.withColumn("start_key", F.lit("u/en"))
+    assert [r.url for r in W.crawl_plan(keyed).where("visit_order = 0").collect()] == ["u/en"]
+    closed = two.withColumn("allowed", F.col("url") != "u/")
+    assert W.crawl_plan(closed).count() == 0
+
+
+def test_rows_with_nulls_stay(spark):
+    df = spark.createDataFrame([(None, 1), ("a", 3), ("a", 1)], "brand string, n int")
+    assert sorted((r.brand or "", r.share) for r in A.share_of_partition(df, "n", "brand", "share", spread=["n"]).collect()) == [("", 1.0), ("a", 0.25), ("a", 0.75)]
+    log = spark.createDataFrame([("s", None, "error"), ("s", 1, "error"), (None, 1, "error")], "site string, i int, fetch_status string")
+    runs = streaks.running_streak(log, ["site"], ["i"], F.col("fetch_status") == "error", F.col("i"))
+    assert sorted((r.site or "", r.i or 0, r.streak) for r in runs.collect()) == [("", 1, 1), ("s", 0, 1), ("s", 1, 2)]
+
+
+def test_many_contacts_stay(spark):
+    found = F.transform(F.sequence(F.lit(0), F.lit(59)), lambda i: F.struct(
+        (i % 30).cast("string").alias("value"), i.cast("string").alias("context"), F.lit("text").alias("source")))
+    got = spark.range(1).select(C.contacts_first_wins(found).alias("c")).first().c
+    assert [(r.value, r.context) for r in got] == [(str(k), str(k)) for k in range(30)]
+
+
+def test_whole_texts_and_blocks_stay(spark):
+    long = "word " * 20_000
+    html = f"<html><head><title>{long}</title></head><body><main>{long} end</main></body></html>"
+    row = spark.createDataFrame([(html,)], "html string").select(
+        F.length(H.html_title("html")).alias("t"), F.length(H.html_main_text("html")).alias("m")).first()
+    assert (row.t, row.m) == (99_999, 100_003)
+
+
+def test_zip_in_two_states(spark):
+    addresses = spark.createDataFrame([("1", "TX", "10001"), ("2", None, "10001"), ("3", "NY", "10001")], "serial_no string, state string, zip string")
+    places = spark.createDataFrame([("10001", "tx", 1.0, 2.0, "A", "a"), ("10001", "OH", 3.0, 4.0, "B", "b"), ("10001", None, 5.0, 6.0, "C", "c")],
+                                   "zip string, state string, latitude double, longitude double, geocoded_city string, geocoded_place string")
+    got = {r.serial_no: r.geocoded_city for r in E.geo_lookup(addresses, places).collect()}
+    assert got == {"1": "A", "2": None, "3": "C"}
+
+
+def test_failed_and_repeated_sitemaps(spark):
+    files = spark.createDataFrame([("s", 0, "x/1", "https://a.com/t", None), ("s", 1, "x/1", "https://a.com/t", None), ("s", 2, "x/2", "https://a.com/u", "timeout")],
+                                  "site string, file_order int, file_url string, text string, error string")
+    assert [r.url for r in M.parse_sitemap_text(files).collect()] == ["https://a.com/t"]
+    assert rows(M.sitemap_stats(files)) == [("s", 1, 1)]
+
+
 def test_top_k_same_with_and_without_salt(spark):
     df = spark.range(5000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"), (F.col("id") * 7919 % 5000).alias("v"), "id")
     plain = per_group_top_k(df, ["k"], ["v", "id"], 20)

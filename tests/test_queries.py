@@ -5,10 +5,10 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from sitegauge.catalog.all_queries import ORACLES, QUERIES
 from tests.oracle import compare, connect
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = queries(), oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
@@ -20,6 +20,7 @@ def con():
 
 def test_every_query_is_checked():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Prefix of helper columns, so that they cannot clash with a caller's columns.
@@ -59,6 +59,18 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def sampled(df: DataFrame, rows: int, *by: str, buckets: int = 32, within: tuple[str, ...] = ()) -> DataFrame:
+    """At most `rows` rows (for each value of `within`): the first by hash of the columns `by` in each of so many buckets.
+
+    Every map task keeps no more than that many rows before the shuffle, and the buckets are cut by separate tasks, so
+    neither the driver nor one task gets more as the table grows, as it would with an ordered limit.
+    """
+    bucket, rank = f"{OWN}bucket", f"{OWN}rank"
+    first = Window.partitionBy(bucket, *within).orderBy(F.xxhash64(*by), *by)
+    return (df.withColumn(bucket, F.pmod(F.xxhash64(F.lit(41), *by), F.lit(buckets)))
+            .withColumn(rank, F.row_number().over(first)).where(F.col(rank) <= max(1, rows // buckets)).drop(bucket, rank))
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's decimal digits modulo `modulus`; -1 for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus, F.lit(-1))
@@ -70,9 +82,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, modulus
     The bound makes broadcasting the chosen ids safe: `rows` ids and labels, whatever the corpus size.
     Repeated label rows of one id count once, with their largest label; repeated document rows stay.
     """
-    chosen = (
+    chosen = sampled(
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
         .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (fold(F.col("doc_id"), modulus) != out))
-        .groupBy("doc_id").agg(F.max("label").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+        .groupBy("doc_id").agg(F.max("label").alias("label")), rows, "doc_id")
     return documents.select("doc_id", whole_text().alias("text"), *more).join(F.broadcast(chosen), "doc_id")

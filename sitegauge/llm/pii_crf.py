@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitegauge.llm.common import whole_text
+from sitegauge.llm.common import sampled, whole_text
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
@@ -349,7 +349,7 @@ def training_windows(documents: DataFrame, rows: int = TRAIN_CANDIDATES) -> list
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(labels, pa.string())], names=["part", "spans"])
 
     cuts = documents.select("text").where(F.col("text").rlike("[0-9@]")).mapInArrow(cut, "part string, spans string")
-    chosen = cuts.orderBy((F.col("spans") == "").cast("int") * F.pmod(F.xxhash64("part"), F.lit(2)), F.xxhash64("part"), "part").limit(rows)
+    chosen = sampled(cuts.withColumn("held", F.col("spans") != ""), rows // 2, "part", "spans", within=("held",))
     return [(r["part"], [tuple(map(int, s.split())) for s in r["spans"].split(";") if s]) for r in chosen.collect()]
 
 
@@ -357,8 +357,9 @@ def train(documents: DataFrame) -> Tagger:
     """A tagger fitted on a bounded sample of windows; where no text has a digit or an at sign it adds nothing."""
     found = training_windows(documents)
     rng = np.random.default_rng(5)
-    held = sorted([w for w in found if w[1]], key=lambda w: w[0])
-    free = sorted([w for w in found if not w[1]], key=lambda w: w[0])
+    found.sort()
+    found = [found[k] for k in rng.permutation(len(found))]
+    held, free = [w for w in found if w[1]], [w for w in found if not w[1]]
     picked = held[:TRAIN_WINDOWS // 3] + free[:TRAIN_WINDOWS // 3]
     picked += [_variants(*w, rng) for w in held[:TRAIN_WINDOWS // 3]]
     tagger = Tagger()

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitegauge.llm.common import staged
+from sitegauge.llm.common import sampled, staged
 from sitegauge.llm.components import connected
 
 COSINE, TREES, LEAF = 0.98, 8, 192
@@ -174,7 +174,7 @@ def near_vectors(
     classes = staged(grouped.withColumn("rep", F.monotonically_increasing_id()), "vector-classes")
 
     total = classes.count()
-    drawn = classes.orderBy(F.xxhash64("h1", F.lit(SEED)), "h1", "h2").limit(sample).select("embedding").toPandas()["embedding"]
+    drawn = sampled(classes, sample, "h1", "h2").select("embedding").toPandas()["embedding"]
     by_size: dict[int, list] = {}
     for v in drawn:
         by_size.setdefault(len(v), []).append(np.asarray(v))

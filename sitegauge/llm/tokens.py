@@ -7,22 +7,33 @@ Python worker.  Texts with characters on which the libraries' character classes
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 
 import numpy as np
 
-#: Chunks remembered per Python worker, and the longest that is remembered: bounds its memory.
-REMEMBERED, LONGEST = 1_400_000, 64
+#: Words remembered per Python worker, of 64 characters at most: bounds its memory.
+REMEMBERED = 1_000_000
 _NOT_SPACE_ELSEWHERE = re.compile("[\x1c-\x1f]")
-#: Words of these lower-case letter by letter; these marks are always cut from the letters before them.
-_LATIN = re.compile("[!-;=-~À-ÖØ-öø-ÿ]{2,64}")
-_MARKS = ".,;:!?%&$#*|"
+#: Words of these characters lower-case letter by letter and are cut by the pattern below as by the tokenizer's own.
+_LATIN = re.compile("[!-;=-~À-ÖØ-öø-ÿ]{1,64}")
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-zß-öø-ÿ0-9]+")
 #: Beyond these the Unicode versions of two regex engines may differ; so long a run is slow in one of them.
 _PLAIN = re.compile("[\x00-ɏ‐-‧€]*")
 _LONG_RUN = re.compile(r"\S{1000}")
 
 
+def _byte_characters() -> dict[str, int]:
+    """The character that stands for each byte in byte-level vocabularies: itself if it is printable, else one from 256 on."""
+    printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    other = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(other)}
+
+
+_BYTE_OF = _byte_characters()
+
+
 def tokenizer_path(name: str) -> str:
     """An absolute path as it is; a bare name is a file of the installed public tokenizers."""
     if os.path.isabs(name):
@@ -33,41 +44,45 @@ def tokenizer_path(name: str) -> str:
 
 
 class WordIds:
-    """Ids of texts by a tokenizer that drops white space, so that words can be encoded one by one."""
+    """Ids of texts by a tokenizer that lower-cases, drops white space and marks the ends of words.
+
+    New words go through a second encoder with the same merges, in which a zero byte stands for the end of a word;
+    words beyond Latin letters and ASCII marks go to the library.
+    """
 
     def __init__(self, name: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(tokenizer_path(name))
-        self.cut = "<|endoftext|>"
-        self.cut_id = self.library.token_to_id(self.cut)
+        path = tokenizer_path(name)
+        self.library = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        end = model["end_of_word_suffix"]
+        raw = lambda t: bytes(map(_BYTE_OF.__getitem__, t.removesuffix(end))) + (b"\0" if t.endswith(end) else b"")
+        order = [*(c for c in _BYTE_OF), *(c + end for c in _BYTE_OF)]
+        order += ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+        ranks: dict[bytes, int] = {}
+        for token in order:
+            ranks.setdefault(raw(token), len(ranks))
+        ids = {raw(t): k for t, k in model["vocab"].items() if set(t.removesuffix(end)) <= _BYTE_OF.keys()}
+        self.id_of = np.array([ids[token] for token in ranks], dtype="<u4")
+        self.fast = tiktoken.Encoding("words", pat_str="[^\\x00\\n]+\\x00|\\n", mergeable_ranks=ranks, special_tokens={})
+        self.line_end = ranks[b"\n"]
         self.known: dict[str, bytes] = {}
 
     def direct(self, text: str) -> bytes:
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def learn(self, words: list[str]) -> None:
-        """Encode new words; of a word and its sentence marks each part once, since the tokenizer cuts between them
-        and lower-cases."""
-        parts, whole = {}, []
-        for word in words:
-            core = word.lower().rstrip(_MARKS) if _LATIN.fullmatch(word) else ""
-            if core and core != word and core[-1].isalpha():
-                parts[word] = (core, word[len(core):])
-            elif "<|" not in word and len(word) <= LONGEST:
-                whole.append(word)
-        new = {p for pair in parts.values() for p in pair if p}
-        self.encode([*whole, *(new - self.known.keys() - set(whole))])
-        self.known.update((w, self.known[a] + (self.known[b] if b else b"")) for w, (a, b) in parts.items())
-
-    def encode(self, words: list[str]) -> None:
+        words = [w for w in words if _LATIN.fullmatch(w)]
         if not words:
             return
-        ids = np.asarray(
-            self.library.encode_batch_fast([self.cut.join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
-        ends = np.append(np.flatnonzero(ids == self.cut_id), len(ids))
+        pieces = _PIECE.sub("\\g<0>\0", "\n".join(words).lower())
+        found = np.asarray(self.fast.encode_ordinary(pieces), dtype=np.int64)
+        ends = np.append(np.flatnonzero(found == self.line_end), len(found))
         starts = np.append(0, ends[:-1] + 1)
-        raw = ids.tobytes()
+        raw = self.id_of[found].tobytes()
         self.known.update((w, raw[4 * i:4 * j]) for w, i, j in zip(words, starts.tolist(), ends.tolist(), strict=True))
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
@@ -77,7 +92,7 @@ class WordIds:
         if len(self.known) + len(words - self.known.keys()) > REMEMBERED:
             self.known.clear()
         self.learn(list(words - self.known.keys()))
-        odd = words - self.known.keys()  # long words and those with the marks of special tokens: for this batch only
+        odd = words - self.known.keys()  # long words and other alphabets: for this batch only
         self.known.update((w, self.direct(w)) for w in odd)
         get = self.known.__getitem__
         raw = [self.direct(t) if ws is None else b"".join(map(get, ws)) for t, ws in zip(texts, split, strict=True)]

@@ -57,7 +57,9 @@ def find_exponent(sources: DataFrame, entropy: float = ENTROPY, repetition: floa
 
     coarse = largest(0, SECTION, SECTION)
     exponent = min(largest(coarse, 1, SECTION), whole)
-    # the smallest source is passed (high / low) ** (1 - exponent) times, the largest once
+    # the smallest source is passed (high / low) ** (1 - exponent) times, the largest once; equal sources need no exponent
+    if total["high"] == total["low"]:
+        return exponent
     row = sources.select(
         F.ceil(whole * (1 - F.log(F.lit(float(repetition))) / F.log(F.lit(float(total["high"])) / F.lit(float(total["low"])))) - 1e-9).alias("k")).first()
     needed = row["k"] if row["k"] is not None else 0

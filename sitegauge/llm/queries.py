@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegauge.llm import host_rules, licenses, mixing, packing, pii_crf, quality_gam, rp_forest, simhash_bk, token_cache, toxicity_cnn
-from sitegauge.llm.common import table, workers_find_package
+from sitegauge.llm.common import shared_dir, table, workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,8 +79,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_token_cache")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Starts from an empty cache each time, so that its rows never depend on earlier runs."""
-    return token_cache.count_tokens(table(spark, sf_dir, "documents"))
+    """Starts from an empty cache each time, so that its rows never depend on earlier runs; its counts are stored and read back."""
+    return token_cache.count_tokens(table(spark, sf_dir, "documents"), cache_path=f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}")
 
 
 @query("op10_licenses", licenses.oracle())

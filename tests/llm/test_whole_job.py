@@ -1,9 +1,25 @@
 """Cases that the operators once cut short."""
 
+from pathlib import Path
+
 from sitegauge.llm import mixing
+from sitegauge.llm.common import shared_dir
+from sitegauge.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_mixture_of_equal_sources(spark):
     docs = spark.createDataFrame([(k, "a b c", f"s{k % 2}") for k in range(10)], "doc_id long, text string, source string")
     assert mixing.find_exponent(mixing.source_tokens(docs)) == mixing.SECTION**2
     assert sorted(r["doc_id"] for r in mixing.mix(docs).collect()) == list(range(10))
+
+
+def test_token_query_stores_its_counts(spark):
+    before = set(Path(shared_dir(spark)).glob("token-cache-*"))
+    rows = QUERIES["op9_token_cache"](spark, SF_DIR).collect()
+    added = [p for p in Path(shared_dir(spark)).glob("token-cache-*") if p not in before]
+    assert len(added) == 1
+    stored = spark.read.parquet(str(added[0])).collect()
+    texts = {r["text"] or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    assert len(rows) == 200 and len(stored) == len(texts) and {r["n_tokens"] for r in stored} == {r["n_tokens"] for r in rows}

@@ -27,18 +27,23 @@ SHARD, AT_ONCE = 8192, 60_000
 _PAIRS_AT_ONCE = 2_000_000
 
 
-def fingerprint(text: str) -> int:
-    """Unsigned 64 bits; a bit is set if it is in over half the shingles' hashes."""
+def shingle_hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
+    """One hash per run of `shingle` words; a shorter text is one run, a text without words has none."""
     from xxhash import xxh64_intdigest
 
     words = text.encode("utf-8", "surrogatepass").lower().split()  # ASCII letters and ASCII white space only
     if not words:
-        return 0
-    if len(words) < SHINGLE:
+        return np.zeros(0, "<u8")
+    if len(words) < shingle:
         shingles = [b" ".join(words)]
     else:
-        shingles = map(b" ".join, zip(*(words[k:] for k in range(SHINGLE)), strict=False))
-    hashes = np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), dtype="<u8")
+        shingles = map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False))
+    return np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), dtype="<u8")
+
+
+def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+    """Unsigned 64 bits; a bit is set if it is in over half the shingles' hashes."""
+    hashes = shingle_hashes(text, shingle)
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 100_000):
         part = hashes[at:at + 100_000]
@@ -227,7 +232,12 @@ def one_of_each(documents: DataFrame, shard_size: int = SHARD) -> DataFrame:
     Rows without an id stay only where their class has none with an id.  Of repeated rows one stays.
     """
     prints = staged(fingerprints(documents), "prints")
-    best = prints.join(classes(prints, shard_size).select("fp", "root"), "fp").groupBy("root").agg(
+    return stay_first(documents, prints.join(classes(prints, shard_size).select("fp", "root"), "fp"))
+
+
+def stay_first(documents: DataFrame, placed: DataFrame) -> DataFrame:
+    """The row of `documents` with the smallest id of each root; `placed`: doc_id, text_hash, root of every row."""
+    best = placed.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("best"))
     own_id, own_hash, rank = f"{OWN}id", f"{OWN}hash", f"{OWN}rank"
     stays = best.select(F.coalesce("best.doc_id", F.lit(-1).cast("long")).alias(own_id), F.col("best.text_hash").alias(own_hash))

@@ -2,7 +2,11 @@
 
 from pathlib import Path
 
-from sitegauge.llm import mixing
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from sitegauge.llm import mixing, near_copies
 from sitegauge.llm.common import shared_dir
 from sitegauge.llm.queries import QUERIES
 
@@ -23,3 +27,41 @@ def test_token_query_stores_its_counts(spark):
     stored = spark.read.parquet(str(added[0])).collect()
     texts = {r["text"] or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     assert len(rows) == 200 and len(stored) == len(texts) and {r["n_tokens"] for r in stored} == {r["n_tokens"] for r in rows}
+
+
+def _near_texts():
+    rng = np.random.default_rng(4)
+    bases = [[f"w{k}" for k in rng.integers(0, 5000, size=200)] for _ in range(30)]
+    texts = [" ".join(b) for b in bases]
+    for k, b in enumerate(bases):
+        for changed in (1, 3, 9):
+            copy = list(b)
+            for at in rng.choice(200, size=changed, replace=False):
+                copy[at] = f"new{k}x{at}x{changed}"
+            texts.append(" ".join(copy))
+    for k in range(60):  # near the first text, often not near each other
+        copy = list(bases[0])
+        copy[k * 3], copy[(k * 7 + 50) % 200] = f"hot{k}", f"warm{k}"
+        texts.append(" ".join(copy))
+    return texts
+
+
+@pytest.mark.parametrize("block", [20, 1000])
+def test_near_copies_with_a_few_changed_words(spark, block):
+    texts = _near_texts()
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append({tuple(w[k:k + 5]) for k in range(len(w) - 4)})
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    assert len(set(root)) < 100
+    assert {r["doc_id"] for r in near_copies.one_of_each(docs, block=block).collect()} == set(root)
+    if block == 1000:
+        assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == set(root)

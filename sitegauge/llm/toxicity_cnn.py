@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 
 from sitegauge.llm.common import fold, labelled_sample, whole_text
 
-#: Bounds of the training sample: labelled documents, and words in each (longer ones are only scored).
-SAMPLE_ROWS, SAMPLE_WORDS = 8_000, 500
+#: Labelled documents that training takes at most, with their whole texts.
+SAMPLE_ROWS = 8_000
 SEEN_IN, SIZE, WIDTHS, FILTERS, EPOCHS, BATCH, BEGINNING = 5, 8, (1, 2, 3), 8, 5, 128, 5
 POSITIONS = 200_000  # words that are scored at once
+LEARNED = 100_000  # words of a training batch, unless one text alone has more
 REMEMBERED = 400_000
 _WORD = re.compile(r"[^\W\d_]+")
 _GAP = max(WIDTHS) - 1
@@ -139,9 +140,8 @@ def fit(hashes: list[np.ndarray], y: np.ndarray, languages: list[str | None], se
     values = [m.embeddings, *m.filters, *m.biases, m.top]
     first, second, n = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values], 0
     for _ in range(EPOCHS):
-        order = rng.permutation(len(y))
-        for at in range(0, len(order), BATCH):
-            some, n = order[at:at + BATCH], n + 1
+        for some in batches(rng.permutation(len(y)), rows):
+            n += 1
             grads = _gradients(m, [rows[k] for k in some], y[some])
             m.top_bias -= 0.05 * grads.pop()
             for k, (v, g) in enumerate(zip(values, grads, strict=True)):
@@ -156,6 +156,18 @@ def fit(hashes: list[np.ndarray], y: np.ndarray, languages: list[str | None], se
     return m
 
 
+def batches(order: np.ndarray, rows: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """At most BATCH texts and LEARNED words at once; a longer text is a batch of its own."""
+    start, words = 0, 0
+    for at, k in enumerate(order):
+        if at > start and (at - start == BATCH or words + len(rows[k]) > LEARNED):
+            yield order[start:at]
+            start, words = at, 0
+        words += len(rows[k])
+    if len(order):
+        yield order[start:]
+
+
 def _gradients(m: Convolution, rows: list[np.ndarray], y: np.ndarray) -> list:
     pooled, values, flat, starts, lengths = m.pooled(rows)
     d = (1 / (1 + np.exp(-(pooled @ m.top + m.top_bias))) - y) / len(y)
@@ -188,15 +200,12 @@ def calibrated(score: np.ndarray, y: np.ndarray, usual: float = 0.3) -> float:
     return float((score[order[k]] + below) / 2)
 
 
-def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, words: int = SAMPLE_WORDS, modulus: int = 4, out: int = 2) -> Convolution:
-    """Fitted on at most `rows` labelled documents of at most `words` words outside the held-out fold."""
+def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, modulus: int = 4, out: int = 2) -> Convolution:
+    """Fitted on the whole texts of at most `rows` labelled documents outside the held-out fold."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [hashed(t.as_py()) for t in batch.column(2)]
-            kept = pa.array([len(h) <= words for h in found], pa.bool_())
-            made = pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([h.tobytes() if len(h) <= words else b"" for h in found], pa.binary())], names=["label", "lang", "hashes"])
-            yield made.filter(kept)
+            found = pa.array([hashed(t.as_py()).tobytes() for t in batch.column(2)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], names=["label", "lang", "hashes"])
 
     sample = labelled_sample(documents, labels, "toxic", modulus, out, rows, F.col("lang").cast("string").alias("lang"))
     found = sample.select("label", "lang", "text").mapInArrow(read, "label int, lang string, hashes binary").collect()

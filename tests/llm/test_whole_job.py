@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from sitegauge.llm import mixing, near_copies
+from sitegauge.llm import mixing, near_copies, toxicity_cnn
 from sitegauge.llm.common import shared_dir
 from sitegauge.llm.queries import QUERIES
 
@@ -65,3 +65,19 @@ def test_near_copies_with_a_few_changed_words(spark, block):
     assert {r["doc_id"] for r in near_copies.one_of_each(docs, block=block).collect()} == set(root)
     if block == 1000:
         assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == set(root)
+
+
+def test_long_labelled_texts_are_learned_from(spark):
+    rng = np.random.default_rng(6)
+    rows = [(k, " ".join(f"w{x}" for x in "abcdefghij"[j % 5] * 3 + str(k)) + " plain" * 600 + " vile" * (k % 2), "en") for k, j in enumerate(rng.integers(0, 9, 60).tolist())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity_cnn.score_toxicity(docs, toxicity_cnn.train(docs, labels)).collect()}
+    assert min(got[k] for k in range(1, 60, 2)) > max(got[k] for k in range(0, 60, 2))
+
+
+def test_training_batches_are_bounded():
+    rows = [np.zeros((n, 2), np.int64) for n in [10] * 300 + [250_000, 60_000, 60_000]]
+    made = list(toxicity_cnn.batches(np.arange(len(rows)), rows))
+    assert np.concatenate(made).tolist() == list(range(len(rows)))
+    assert all(len(b) == 1 or len(b) <= toxicity_cnn.BATCH and sum(len(rows[k]) for k in b) <= toxicity_cnn.LEARNED for b in made)

@@ -24,6 +24,8 @@ COSINE, TREES, LEAF = 0.98, 8, 192
 SAMPLE, DEEPEST, SPILL = 20_000, 16, 0.08
 #: Rows of a leaf that are compared in one task; larger leaves are compared block by block.
 BLOCK = 2_000
+#: Quantiles at which a node may be split; share of its vectors within the link radius of a split above which it stays whole.
+CUTS, CROWDED = np.linspace(0.1, 0.9, 33), 0.25
 SEED = 29
 
 
@@ -56,8 +58,30 @@ class Trees:
         return np.concatenate(rows), np.concatenate(found)
 
 
-def fit(sample: np.ndarray, total: int, trees: int = TREES, leaf: int = LEAF) -> Trees:
-    """Medians node by node; a node that too few sampled vectors reach takes its parent's."""
+def cut(at: np.ndarray, radius: float) -> float:
+    """Where to split the projections: at the median, or away from it where a group of near copies lies there.
+
+    Infinity, so that all go left, where every split would part a group: such a leaf is compared block by block.
+    """
+    at = np.sort(at)
+    near = lambda x: (np.searchsorted(at, x + radius, "right") - np.searchsorted(at, x - radius, "left")) / len(at)
+    middle = float(np.median(at))
+    # what a bell-shaped spread of the bulk would have near its median
+    usual = 2 * radius * 0.4 / max(float(np.quantile(at, 0.9) - np.quantile(at, 0.1)) / 2.56, 1e-12)
+    if near(middle) <= min(1.5 * usual, CROWDED):
+        return middle
+    places = np.quantile(at, CUTS)
+    share = near(places)
+    best = int(np.lexsort((np.abs(CUTS - 0.5), np.round(share, 2)))[0])
+    return float(places[best]) if share[best] <= CROWDED else np.inf
+
+
+def fit(sample: np.ndarray, total: int, trees: int = TREES, leaf: int = LEAF, cosine: float = COSINE) -> Trees:
+    """Splits node by node; a node that too few sampled vectors reach takes its parent's.
+
+    A group of near copies is not parted: its projections differ by about the link radius over the root of the size.
+    """
+    radius = float(np.sqrt(max(2 - 2 * cosine, 0) / max(sample.shape[-1], 1))) if len(sample) else 0.0
     depth = int(np.clip(np.ceil(np.log2(max(total, 1) / leaf)), 0, DEEPEST))
     made = Trees(depth, np.zeros((trees, 2**depth - 1)), np.zeros((trees, 2**depth - 1)))
     directions = made.directions(sample.shape[1]) if len(sample) else None
@@ -67,7 +91,7 @@ def fit(sample: np.ndarray, total: int, trees: int = TREES, leaf: int = LEAF) ->
             at, below = sample @ directions[t * depth + level], {}
             for node, (rows, middle, spread) in held.items():
                 if len(rows) >= 8:
-                    middle, spread = float(np.median(at[rows])), float(at[rows].std())
+                    middle, spread = cut(at[rows], radius), float(at[rows].std())
                 made.thresholds[t, node], made.margins[t, node] = middle, SPILL * spread
                 left = at[rows] <= middle
                 below[2 * node + 1], below[2 * node + 2] = (rows[left], middle, spread), (rows[~left], middle, spread)
@@ -178,7 +202,7 @@ def near_vectors(
     by_size: dict[int, list] = {}
     for v in drawn:
         by_size.setdefault(len(v), []).append(np.asarray(v))
-    fitted = {n: fit(unit(v), total * len(v) // max(len(drawn), 1), trees, leaf) for n, v in by_size.items()}
+    fitted = {n: fit(unit(v), total * len(v) // max(len(drawn), 1), trees, leaf, cosine) for n, v in by_size.items()}
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -122,6 +122,14 @@ def _start(hashes: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndar
     return known[kept], np.tanh(z[kept] / 10) * 2
 
 
+def rows_of(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Row of the embeddings of each hash, 0 for those without one; `known` is sorted."""
+    if not len(known):
+        return np.zeros(hashes.shape, np.int64)
+    at = np.searchsorted(known, hashes)
+    return np.where(known[np.minimum(at, len(known) - 1)] == hashes, at + 1, 0)
+
+
 def fit(hashes: list[np.ndarray], y: np.ndarray, languages: list[str | None], seed: int = 3) -> Convolution:
     """Without two kinds of labels every score is the smoothed share of ones."""
     rng = np.random.default_rng(seed)
@@ -136,7 +144,7 @@ def fit(hashes: list[np.ndarray], y: np.ndarray, languages: list[str | None], se
     if len(y) == 0 or y.min() == y.max():
         m.top[:] = 0
         return m
-    rows = [np.where(np.isin(h, known), np.searchsorted(known, h) + 1, 0) for h in hashes]
+    rows = [rows_of(known, h) for h in hashes]
     values = [m.embeddings, *m.filters, *m.biases, m.top]
     first, second, n = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values], 0
     for _ in range(EPOCHS):

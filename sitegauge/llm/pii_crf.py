@@ -67,7 +67,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     found = [(0, a, b) for a, b in _emails(text)] if "@" in text else []
     if not _TRIGGER.search(text):
         return found
-    found += [(1, *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    found += [(1, *m.span()) for m in _IP.finditer(text) if all(len(d) <= 3 and int(d or "0") <= 255 for d in (p.lstrip("0") for p in m[0].split(".")))]
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13 and 13 <= len(d := _digits(m[0])) <= 19 and _luhn(d):
             found.append((2, *m.span()))

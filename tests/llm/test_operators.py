@@ -119,7 +119,7 @@ def test_cache_answers_and_grows(spark, tmp_path, texts):
 def _plain_spans(text):
     found = [(0, *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
-        if all(int(p) <= 255 for p in m[0].split(".")):
+        if all(int(p.lstrip("0")[:4] or "0") <= 255 for p in m[0].split(".")):
             found.append((1, *m.span()))
     for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
         digits = re.sub("[^0-9]", "", m[0])
@@ -132,6 +132,13 @@ def _plain_spans(text):
     return found
 
 
+def test_digit_runs_of_any_length():
+    for run, address in (("0" * 5000, True), ("7" * 5000, False), ("0" * 4998 + "25", True), ("0" * 5000 + "256", False)):
+        for text in (f"{run}.1.1.1", f"1.{run}.1.1", f"1.1.1.{run}"):
+            assert pii_crf.base_spans(text) == _plain_spans(text)
+            assert [k for k, *_ in pii_crf.base_spans(text)] == ([1] if address else [])
+
+
 def test_base_spans_are_the_patterns(texts):
     rng = np.random.default_rng(0)
     for _ in range(3000):
@@ -314,6 +321,22 @@ def test_licenses_with_changed_words(spark):
 
 # the pipeline
 
+def _first_of_each_class(rows, least=0.8, width=5):
+    """Smallest id of each class of texts whose word shingles are alike, every pair compared."""
+    sets = {}
+    for r in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), r["text"] or ""))
+        sets[r["doc_id"]] = {tuple(words[k:k + width]) for k in range(max(1, len(words) - width + 1))}
+    root = {k: k for k in sets}
+    for a in sorted(sets):
+        for b in (x for x in sorted(sets) if x < a):
+            both = len(sets[a] & sets[b])
+            if both >= least * (len(sets[a]) + len(sets[b]) - both) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    return set(root.values())
+
+
 def test_pipeline_stages(spark, texts):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     taken = {}
@@ -322,8 +345,7 @@ def test_pipeline_stages(spark, texts):
         taken[name] = docs.collect()
     judged = {r["doc_id"] for r in host_rules.judge(spark.read.parquet(f"{SF_DIR}/documents.parquet")).where("kept").collect()}
     assert {r["doc_id"] for r in taken["quality_rules"]} == judged
-    first = spark.createDataFrame(taken["quality_rules"])
-    kept = {r["doc_id"] for r in simhash_bk.near_duplicates(first).where("doc_id = component_id").collect()}
+    kept = _first_of_each_class(taken["quality_rules"])
     assert {r["doc_id"] for r in taken["near_duplicates"]} == kept
     assert {r["doc_id"] for r in taken["personal_data"]} == kept == {r["doc_id"] for r in taken["mixture"]}
     assert not any(pii_crf.base_spans(r["text"]) for r in taken["personal_data"])

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,8 @@ from sitegauge.llm.tokens import word_ids
 CAPACITY = 2048
 #: Ids that a task holds before it packs them (4 bytes each).
 WINDOW_TOKENS = 3_000_000
-TEXTS_AT_ONCE = 2_000_000
+#: Bytes of text that are encoded at once.
+TEXTS_AT_ONCE = 6_000_000
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint, sequence_length bigint")
 
@@ -150,15 +152,14 @@ def pack_documents(
         packer = Packer(capacity, TaskContext.get().partitionId() << 33)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
             at = 0
             while at < len(doc_ids):
-                some, size = [], 0
-                while at + len(some) < len(doc_ids) and size < TEXTS_AT_ONCE:
-                    some.append(texts[at + len(some)].as_py())
-                    size += len(some[-1])
-                for doc_id, ids in zip(doc_ids[at:at + len(some)], encoder.batch(some), strict=True):
-                    packer.add(doc_id, np.append(ids, np.uint32(end_id)).astype("<u4"))
-                at += len(some)
+                # as many texts as hold so many bytes, one at least
+                end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + TEXTS_AT_ONCE)))
+                for doc_id, ids in zip(doc_ids[at:end], encoder.batch(texts.slice(at, end - at)), strict=True):
+                    packer.add(doc_id, np.append(ids, np.uint32(end_id)).astype("<u4", copy=False))
+                at = end
                 if packer.waiting >= window_tokens or len(packer.pieces) > 100_000:
                     packer.pack()
                     yield packer.batch()

@@ -12,13 +12,14 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Words remembered per Python worker, of 64 characters at most: bounds its memory.
-REMEMBERED = 1_000_000
-_NOT_SPACE_ELSEWHERE = re.compile("[\x1c-\x1f]")
+#: Words remembered per Python worker, and their greatest length: bounds its memory.
+REMEMBERED, LONGEST = 1_500_000, 64
 #: Words of these characters lower-case letter by letter and are cut by the pattern below as by the tokenizer's own.
-_LATIN = re.compile("[!-;=-~À-ÖØ-öø-ÿ]{1,64}")
-_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-zß-öø-ÿ0-9]+")
+_LATIN = "^[!-;=-~À-ÖØ-öø-ÿ]{1,64}$"
+_PIECE = "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-zß-öø-ÿ0-9]+"
 #: Beyond these the Unicode versions of two regex engines may differ; so long a run is slow in one of them.
 _PLAIN = re.compile("[\x00-ɏ‐-‧€]*")
 _LONG_RUN = re.compile(r"\S{1000}")
@@ -69,36 +70,73 @@ class WordIds:
         self.id_of = np.array([ids[token] for token in ranks], dtype="<u4")
         self.fast = tiktoken.Encoding("words", pat_str="[^\\x00\\n]+\\x00|\\n", mergeable_ranks=ranks, special_tokens={})
         self.line_end = ranks[b"\n"]
-        self.known: dict[str, bytes] = {}
-
-    def direct(self, text: str) -> bytes:
-        return np.asarray(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def learn(self, words: list[str]) -> None:
-        words = [w for w in words if _LATIN.fullmatch(w)]
-        if not words:
-            return
-        pieces = _PIECE.sub("\\g<0>\0", "\n".join(words).lower())
-        found = np.asarray(self.fast.encode_ordinary(pieces), dtype=np.int64)
-        ends = np.append(np.flatnonzero(found == self.line_end), len(found))
-        starts = np.append(0, ends[:-1] + 1)
-        raw = self.id_of[found].tobytes()
-        self.known.update((w, raw[4 * i:4 * j]) for w, i, j in zip(words, starts.tolist(), ends.tolist(), strict=True))
-
-    def batch(self, texts: list[str]) -> list[np.ndarray]:
-        """One array of ids for each text."""
-        split = [None if _NOT_SPACE_ELSEWHERE.search(t) else t.split() for t in texts]
-        words = {w for ws in split if ws for w in ws}
-        if len(self.known) + len(words - self.known.keys()) > REMEMBERED:
-            self.known.clear()
-        self.learn(list(words - self.known.keys()))
-        odd = words - self.known.keys()  # long words and other alphabets: for this batch only
-        self.known.update((w, self.direct(w)) for w in odd)
-        get = self.known.__getitem__
-        raw = [self.direct(t) if ws is None else b"".join(map(get, ws)) for t, ws in zip(texts, split, strict=True)]
-        for w in odd:
-            del self.known[w]
-        return [np.frombuffer(r, dtype="<u4") for r in raw]
+        self.forget()
+
+    def forget(self) -> None:
+        """Only the empty word is known; it has no ids."""
+        self.words = pa.array([""], pa.large_string())
+        self.ids = np.zeros(0, dtype="<u4")
+        self.lengths = np.zeros(1, np.int64)
+
+    def direct(self, text: str) -> np.ndarray:
+        return np.asarray(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words of Latin letters and ASCII marks, one word after the other, and how many each word has."""
+        if not len(words):
+            return np.zeros(0, dtype="<u4"), np.zeros(0, np.int64)
+        pieces = pc.replace_substring_regex(pc.utf8_lower(words), _PIECE, "\\0\x00")
+        lines = pc.binary_join(pa.scalar(pieces.to_pylist(), pa.list_(pa.large_string())), pa.scalar("\n", pa.large_string())).as_py()
+        found = self.fast.encode_to_numpy(lines, disallowed_special=())
+        line = found == self.line_end
+        ends = np.append(np.flatnonzero(line), len(found))
+        return self.id_of[found[~line]], np.diff(ends, prepend=-1) - 1
+
+    def batch(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
+        """One array of ids for each text.
+
+        Texts are cut and their words numbered in Arrow, after the words that are known already; what is new is encoded once.
+        """
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        own = {k: texts[k].as_py() for k in np.flatnonzero(pc.match_substring_regex(texts, "[\x1c-\x1f]").to_numpy(zero_copy_only=False)).tolist()}
+        if own:
+            texts = pa.array(["" if k in own else t for k, t in enumerate(texts.to_pylist())], pa.large_string())
+        split = pc.utf8_split_whitespace(texts)
+        values = split.flatten()
+        numbered = pa.concat_arrays([self.words, values]).dictionary_encode()
+        at = numbered.indices[len(self.words):].to_numpy(zero_copy_only=False)
+
+        new = numbered.dictionary[len(self.words):]
+        latin = pc.match_substring_regex(new, _LATIN).to_numpy(zero_copy_only=False)
+        plain_at, odd_at = np.flatnonzero(latin), np.flatnonzero(~latin)
+        odd_at = odd_at[np.argsort(pc.utf8_length(new.take(pa.array(odd_at))).to_numpy(), kind="stable")]  # the long ones, which are not kept, last
+        plain, odd = new.take(pa.array(plain_at)), new.take(pa.array(odd_at))
+        ids, lengths = self._encoded(plain)
+        other = [self.direct(w) for w in odd.to_pylist()]
+        ids = np.concatenate([self.ids, ids, *other])
+        lengths = np.concatenate([self.lengths, lengths, np.array([len(i) for i in other], np.int64)])
+        starts = np.cumsum(lengths) - lengths
+        place = np.arange(len(starts))  # where each word of the dictionary stands now
+        place[len(self.words) + np.concatenate([plain_at, odd_at])] = np.arange(len(self.words), len(starts))
+        at = place[at]
+
+        size = lengths[at]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        flat = ids[np.repeat(starts[at] - ends[:-1], size) + np.arange(ends[-1])]
+        cut = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        found = [flat[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+        for k, text in own.items():
+            found[k] = self.direct(text)
+
+        short = int(np.count_nonzero(pc.utf8_length(odd).to_numpy() <= LONGEST))
+        kept = len(self.words) + len(plain) + short
+        if kept > REMEMBERED:
+            self.forget()
+        else:
+            self.words = pa.concat_arrays([self.words, plain, odd[:short]])
+            self.lengths = lengths[:kept]
+            self.ids = ids[:int(self.lengths.sum())]
+        return found
 
 
 class ByteCounts:

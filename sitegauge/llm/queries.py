@@ -9,7 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegauge.llm import host_rules, licenses, mixing, packing, pii_crf, quality_gam, rp_forest, simhash_bk, token_cache, toxicity_cnn
+from sitegauge.llm import (
+    hadamard, host_rules, importance, licenses, mixing, packing, pii_crf, quality_gam, rp_forest, simhash_bk, token_cache, toxicity_cnn,
+    warc_bundles)
 from sitegauge.llm.common import shared_dir, table, workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +88,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_licenses", licenses.oracle())
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op11_warc_bundles", warc_bundles.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_bundles.pages_of(warc_bundles.write_archive(table(spark, sf_dir, "pages")))
+
+
+@query("op12_importance")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_hadamard", hadamard.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hadamard.cluster(table(spark, sf_dir, "embeddings")).drop("finished")

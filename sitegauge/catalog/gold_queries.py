@@ -44,6 +44,11 @@ def product_table(spark, sf):
     return G.product_urls(S.frame(spark, sf, S.SITE_URLS))
 
 
+def product_paths(spark, sf):
+    """Product addresses that get their category after they are made distinct."""
+    return G.product_paths(S.frame(spark, sf, S.SITE_URLS))
+
+
 def cleaned(spark, sf):
     return G.clean_pages(G.page_features(site_pages(spark, sf)), status(spark, sf))
 
@@ -95,7 +100,7 @@ def join_dim_counts(spark, sf):
   (SELECT serial_no, category, count(DISTINCT url) AS n FROM {K.PRODUCTS} WHERE category IS NOT NULL GROUP BY serial_no, category) r
   JOIN {K.COMPANY} c ON c.serial_no = r.serial_no""")
 def join_categories_company(spark, sf):
-    counts = G.category_rollup(product_table(spark, sf))
+    counts = G.category_rollup(product_paths(spark, sf))
     return counts.join(company(spark, sf), "serial_no").select("serial_no", "brand", "category", F.col("product_pages").alias("n"))
 
 
@@ -211,7 +216,7 @@ def product_page_counts(spark, sf):
 @register("category_rollup", f"""SELECT serial_no, segment, category, count(DISTINCT url) AS product_pages, min(url) AS example_url
   FROM {K.PRODUCTS} WHERE category IS NOT NULL GROUP BY serial_no, segment, category""")
 def category_rollup(spark, sf):
-    return G.category_rollup(product_table(spark, sf))
+    return G.category_rollup(product_paths(spark, sf))
 
 
 REPORT = f"""(SELECT serial_no, regexp_extract(relative_path, '^([^/]+(/[^/]+)?)', 1) AS path, count(*) AS pages
@@ -289,7 +294,7 @@ ORDER_CASE = " ".join(f"WHEN {K.quote(c)} THEN {i}" for i, c in enumerate(preset
   FROM {K.CATEGORIES}""")
 def custom_sort_order(spark, sf):
     from sitegauge.functions.rules import custom_sort_order as place
-    return G.category_rollup(product_table(spark, sf)).select("serial_no", "category", place("category").alias("place"))
+    return G.category_rollup(product_paths(spark, sf)).select("serial_no", "category", place("category").alias("place"))
 
 
 @register("share_of_partition", """SELECT s_suppkey, s_nationkey, s_acctbal_cents, round(s_acctbal_cents / sum(s_acctbal_cents) OVER (PARTITION BY s_nationkey), 9) AS share
@@ -327,7 +332,7 @@ def dim_company(spark, sf):
 
 @register("company_categories", f"SELECT * FROM {K.CATEGORIES}")
 def company_categories(spark, sf):
-    return G.company_categories(company(spark, sf), product_table(spark, sf))
+    return G.company_categories(company(spark, sf), product_paths(spark, sf))
 
 
 @register("electric_products", f"SELECT * FROM {K.ELECTRIC}")

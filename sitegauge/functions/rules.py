@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from sitegauge import presets
 from sitegauge.functions import urls
+from sitegauge.functions.prefilter import matches
 from sitegauge.functions.text import as_col
 
 
@@ -12,20 +13,20 @@ def first_match(c, patterns) -> Column:
     """Position of the first pattern found in the text, null when none is."""
     text, chosen = as_col(c), None
     for i, pattern in enumerate(patterns):
-        chosen = (F if chosen is None else chosen).when(text.rlike(pattern), F.lit(i))
+        chosen = (F if chosen is None else chosen).when(matches(text, pattern), F.lit(i))
     return chosen
 
 
 def category_code(path, rules=tuple(presets.CATEGORY_RULES)) -> Column:
     """Small integer for the (category, segment) of the first matching rule, null without a match.
 
-    One CASE over the rules; rules with the same category share a code, so the code can be the
+    One CASE over the rules; a rule whose words are not in the path is not tried; rules with the same category share a code, so the code can be the
     grouping key and the names are looked up after the aggregation."""
     names = category_names(rules)
     text, chosen = as_col(path), None
     for category, segment, pattern in rules:
         chosen = (F if chosen is None else chosen).when(
-            text.rlike(pattern), F.lit(names.index((category, segment))))
+            matches(text, pattern), F.lit(names.index((category, segment))))
     return chosen
 
 
@@ -50,13 +51,13 @@ def rule_first_match(path, rules=tuple(presets.CATEGORY_RULES)) -> Column:
 
 
 def exclude_non_product(path, pattern=presets.NOT_PRODUCT_PATTERN) -> Column:
-    return ~as_col(path).rlike(pattern)
+    return ~matches(path, pattern)
 
 
 def keyword_or_filter(path, heading, path_pattern=presets.ELECTRIC_PATH_PATTERN,
                       heading_pattern=presets.ELECTRIC_HEADING_PATTERN) -> Column:
     """Keyword in the address or in the heading; a missing heading has no keyword."""
-    return as_col(path).rlike(path_pattern) | F.coalesce(as_col(heading).rlike(heading_pattern), F.lit(False))
+    return matches(path, path_pattern) | F.coalesce(matches(heading, heading_pattern), F.lit(False))
 
 
 def custom_sort_order(c, order=tuple(presets.CATEGORY_ORDER)) -> Column:
@@ -79,7 +80,7 @@ def page_type(path, product_pattern=None, words=tuple(presets.PAGE_TYPE_WORDS))
               .when(~text.rlike("[^/]"), F.lit("home"))
               .when(F.coalesce(F.rlike(text, site), F.lit(False)), F.lit("product")))
     for name, tokens in words:
-        hit = text.rlike(word_pattern(tokens))
+        hit = matches(text, word_pattern(tokens))
         if name == "product":
             hit = site.isNull() & hit
         chosen = chosen.when(hit, F.lit(name))

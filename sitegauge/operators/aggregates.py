@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitegauge import presets
+from sitegauge.functions.prefilter import matches
 from sitegauge.operators.joins import lookup_join
 
 
@@ -63,8 +64,11 @@ def literal_cells(names: tuple, rows: list) -> list:
 
 
 def theme_flags(text: str, themes: dict) -> list:
-    """One 0/1 column per theme, t0, t1, ..."""
-    return [F.col(text).rlike(rx).cast("int").alias(f"t{i}") for i, rx in enumerate(themes.values())]
+    """One 0/1 column per theme, t0, t1, ...
+
+    A text is brought to lower case once and searched for the words that the themes need; only a
+    theme whose words are there runs its pattern."""
+    return [matches(text, rx).cast("int").alias(f"t{i}") for i, rx in enumerate(themes.values())]
 
 
 def theme_counts(pages: DataFrame, themes: dict, site: str = "serial_no") -> DataFrame:

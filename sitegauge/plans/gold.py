@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from sitegauge import presets
 from sitegauge.functions import rules as R
 from sitegauge.functions import text as X
+from sitegauge.functions.prefilter import matches
 from sitegauge.operators import aggregates as A
 from sitegauge.operators.joins import lookup_join
 from sitegauge.operators.ranking import dedup_product_name, dedup_text_per_site
@@ -59,12 +60,16 @@ def clean_pages(pages: DataFrame, status: DataFrame, boundary: bool = False) ->
     return kept.withColumn("serial_no", F.col("serial_no").try_cast("int")).drop("text_hash")
 
 
+def product_paths(urls: DataFrame, exclude: str = presets.NOT_PRODUCT_PATTERN) -> DataFrame:
+    """Product addresses, one row for each row of the address table."""
+    return (urls.where(F.col("page_type") == "product").where(R.exclude_non_product("relative_path", exclude))
+            .select(F.col("serial_no").try_cast("int").alias("serial_no"), "url", "relative_path"))
+
+
 def product_urls(urls: DataFrame, rules=tuple(presets.CATEGORY_RULES),
                  exclude: str = presets.NOT_PRODUCT_PATTERN) -> DataFrame:
     """Product addresses with the code of their category, null where no rule fits."""
-    return (urls.where(F.col("page_type") == "product").where(R.exclude_non_product("relative_path", exclude))
-            .select(F.col("serial_no").try_cast("int").alias("serial_no"), "url", "relative_path",
-                    R.category_code("relative_path", rules).alias("category_code")))
+    return product_paths(urls, exclude).withColumn("category_code", R.category_code("relative_path", rules))
 
 
 def with_category_names(products: DataFrame, rules=tuple(presets.CATEGORY_RULES)) -> DataFrame:
@@ -75,11 +80,19 @@ def with_category_names(products: DataFrame, rules=tuple(presets.CATEGORY_RULES)
 def category_rollup(products: DataFrame, rules=tuple(presets.CATEGORY_RULES)) -> DataFrame:
     """Distinct pages and smallest address per company and category; grouped by the short code.
 
-    The code is carried on as an aggregate: a filter on it, or on a name made from it, then stays
-    above the aggregation.  Pushed below, it would run all the rules a second time per address."""
-    grouped = (products.groupBy("serial_no", F.col("category_code").alias("_group"))
+    Addresses that come several times are one after a hash aggregation of their keys, and products
+    without a code get theirs after it: the rules run once per address, in as many tasks as that
+    shuffle has, however few tasks read the table.  The code is carried on as an aggregate: a
+    filter on it, or on a name made from it, then stays above the aggregation.  Pushed below, it
+    would run all the rules a second time per address."""
+    if "category_code" in products.columns:
+        once = products.select("serial_no", "url", "category_code").distinct()
+    else:
+        once = products.select("serial_no", "url", "relative_path").distinct().select(
+            "serial_no", "url", R.category_code("relative_path", rules).alias("category_code"))
+    grouped = (once.groupBy("serial_no", F.col("category_code").alias("_group"))
                .agg(F.max("category_code").alias("category_code"),
-                    F.count_distinct("url").alias("product_pages"), F.min("url").alias("example_url"))
+                    F.count("*").alias("product_pages"), F.min("url").alias("example_url"))
                .where(F.col("category_code").isNotNull()).drop("_group"))
     return with_category_names(grouped, rules)
 
@@ -113,13 +126,15 @@ def electric_products(company: DataFrame, pages: DataFrame, products: DataFrame,
                       landing_pattern: str = presets.ELECTRIC_LANDING_PATTERN) -> DataFrame:
     """Product pages about a keyword, one per company and product name.
 
-    Headings come by (company, address); only pages that have one take part in the join.  The
+    The keyword is looked for on both sides before the join by (company, address): addresses with
+    it take their heading, the others are only kept where a heading with it is theirs.  The
     category rules run last, on the few pages that are left."""
     headings = pages.where(F.col("h1").isNotNull()).select("serial_no", "url", "h1")
-    candidates = products.select("serial_no", "url", "relative_path").where(
-        ~X.last_segment("relative_path").rlike(landing_pattern))
-    found = candidates.join(headings, ["serial_no", "url"], "left").where(
-        R.keyword_or_filter("relative_path", "h1", path_pattern, heading_pattern))
+    candidates = products.select("serial_no", "url", "relative_path")
+    in_path = matches("relative_path", path_pattern)
+    named = candidates.where(in_path).join(headings, ["serial_no", "url"], "left")
+    headed = candidates.where(~in_path).join(headings.where(matches("h1", heading_pattern)), ["serial_no", "url"])
+    found = named.unionByName(headed).where(~matches(X.last_segment("relative_path"), landing_pattern))
     named = dedup_product_name(found.select(
         "serial_no", X.product_name("h1", "relative_path").alias("product_name"), "url", "relative_path",
         X.value_provenance("h1").alias("name_source")))

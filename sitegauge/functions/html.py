@@ -1,59 +1,97 @@
 """Column functions that read fields out of HTML text.
 
-All of them are regular expressions and string functions, so extraction stays inside the JVM.
-Test pages and real pages are not well formed, so nothing relies on closing tags except where the
-content of a raw-text element (script, style, title) has to end somewhere.
+All of them are built-in functions, so extraction stays inside the JVM.  Pages are not well formed,
+so the parts of a page that a reader sees are found by one walk over its tags that keeps the open
+elements: an end tag closes the elements that were left open inside its own.
 """
 
 import json
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sitegauge import presets
-from sitegauge.functions.text import as_col, clip_text, squeeze
+from sitegauge.functions.prefilter import matches
+from sitegauge.functions.text import as_col, bound, clip_text, squeeze
 
 COMMENTS = r"(?s)<!--.*?-->"
 CODE_TAGS = ["script", "style"]
 HIDDEN_TAGS = ["noscript", "svg", "template"]
 FRAME_TAGS = ["iframe", "nav", "header", "footer", "form"]
+VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"]
+#: A start tag of these ends the open element of the same name.
+NOT_IN_THEMSELVES = ["p", "li", "dt", "dd", "tr", "td", "th", "option", "thead", "tbody"]
+#: Put around tags; a character that no page may hold, replaced where one does.
+MARK = "\uffff"
 TAG = r"(?s)<(?:/?[A-Za-z]|!|\?)(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>|<(?:/?[A-Za-z]|!|\?)[^>]*>"
-ENTITY = r"&(?=(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);)"
+ENTITY = r"&(?=#[0-9]|#[xX][0-9a-fA-F]|[A-Za-z])"
 # Entities met most, tried before the full table.
-COMMON = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "nbsp": " "}
+COMMON = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "nbsp": "\u00a0"}
+#: Names that older pages write without a semicolon; also the longest one.
+BARE = sorted(n for n in html5 if not n.endswith(";"))
+LONGEST_BARE = max(map(len, BARE))
 
 
 def _character(code: Column) -> Column:
-    """Unicode character of a code point, U+FFFD for an invalid one."""
+    """Character of a numeric reference as browsers read it: 128 to 159 are those of the Windows code
+    page, other control and non-characters are dropped, what is no character at all is U+FFFD."""
+    windows = {str(c): bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0)}
+    plane = F.pmod(code, F.lit(0x10000))
+    dropped = (code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127)
+               | code.between(0xFDD0, 0xFDEF) | (plane >= 0xFFFE))
     valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
     bytes4 = F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(F.lit(0xFFFD))), 8, "0"))
-    return F.decode(bytes4, "UTF-32")
+    return (F.when(code.between(0x80, 0x9F), F.element_at(_table(windows), code.cast("string")))
+            .when(valid & dropped, F.lit("")).otherwise(F.decode(bytes4, "UTF-32")))
 
 
-def _entity(name: Column) -> Column:
-    """Text of an entity name such as amp, #38 or #x26; null for an unknown name."""
-    number = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(F.substr(name, F.lit(2)))
-    # One JSON literal: the optimizer folds it into a constant map.
-    table = json.dumps({n: chr(p) for n, p in sorted(name2codepoint.items())})
-    known = F.from_json(F.lit(table), "map<string,string>")
-    chosen = F.when(name.startswith("#"), _character(number.cast("bigint")))
-    for entity, text in COMMON.items():
-        chosen = chosen.when(name == entity, F.lit(text))
-    return chosen.otherwise(F.element_at(known, name))
+def _table(values: dict) -> Column:
+    """One JSON literal: the optimizer folds it into a constant map."""
+    return F.from_json(F.lit(json.dumps(values)), "map<string,string>")
 
 
-def unescape(c) -> Column:
-    """Replace character references once, from left to right; unknown names stay as they are."""
-    text = as_col(c)
+def _by_length(name: Column, known: dict) -> Column:
+    """Value of a name, looked for among the names of its length only; null when it is not there."""
+    chosen = None
+    for length in sorted({len(n) for n in known}):
+        some = {n: v for n, v in sorted(known.items()) if len(n) == length}
+        chosen = (F if chosen is None else chosen).when(F.length(name) == length, F.element_at(_table(some), name))
+    return chosen
+
+
+def _reference(piece: Column) -> Column:
+    """The text of a character reference at the start of `piece` (its ampersand is cut off) and all behind it."""
+    digits = F.regexp_extract(piece, "^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", 0)
 
-    def restore(piece, i):
-        name = F.substring_index(piece, ";", 1)
-        rest = F.substr(piece, F.length(name) + 2)
-        value = _entity(name)
-        return F.when(i == 0, piece).when(value.isNull(), F.concat(F.lit("&"), piece)).otherwise(F.concat(value, rest))
+    def number(found):
+        hexadecimal = found.rlike("^#[xX]")
+        raw = F.regexp_replace(found, "^#[xX]?0*|;$", "")
+        value = F.when(hexadecimal, F.conv(raw, 16, 10)).otherwise(raw).try_cast("bigint")
+        code = F.when(F.length(raw) > 8, F.lit(0x110000)).otherwise(F.coalesce(value, F.lit(0)))
+        return bound(code, lambda c: F.concat(_character(c), F.substr(piece, F.length(found) + 1)))
 
-    return F.array_join(F.transform(F.split(text, ENTITY), restore), "")
+    def named(name):
+        closed = F.substr(piece, F.length(name) + 1, F.lit(1)) == ";"
+        exact = None
+        for entity, text in COMMON.items():
+            exact = (F if exact is None else exact).when(name == entity, F.lit(text))
+        exact = exact.otherwise(_by_length(name, {n[:-1]: v for n, v in html5.items() if n.endswith(";") and n[:-1] not in COMMON}))
+        whole = F.when(closed, F.concat(exact, F.substr(piece, F.length(name) + 2)))
+        # without a semicolon: the longest beginning that is one of the older names
+        bare = {n: html5[n] for n in BARE}
+        starts = [F.concat(_by_length(F.left(name, F.lit(k)), {n: v for n, v in bare.items() if len(n) == k}), F.substr(piece, F.lit(k + 1)))
+                  for k in range(LONGEST_BARE, 1, -1) if any(len(n) == k for n in bare)]
+        return F.coalesce(whole, *starts, F.concat(F.lit("&"), piece))
+
+    return F.when(piece.startswith("#"), bound(digits, number)).otherwise(bound(F.regexp_extract(piece, "^[A-Za-z0-9]+", 0), named))
+
+
+def unescape(c) -> Column:
+    """Replace character references once, from left to right, with or without a semicolon; unknown names stay."""
+    text = as_col(c)
+    pieces = F.transform(F.split(text, ENTITY), lambda piece, i: F.when(i == 0, piece).otherwise(_reference(piece)))
+    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
 
 
 def _block(tags) -> str:
@@ -150,50 +188,147 @@ def html_hrefs(html) -> Column:
     return hrefs_of(markup_of(html))
 
 
-def shown_of(markup) -> Column:
-    """Markup that a reader sees, header and footer included."""
-    return without_blocks(markup, HIDDEN_TAGS)
+def _tokens(tags: Column) -> Column:
+    """div for a start tag, /div for an end tag, '' for what opens and closes nothing."""
+    def token(tag):
+        name = F.lower(F.regexp_extract(tag, r"^<(/?[A-Za-z][^\s/>]*)", 1))
+        return F.when(tag.endswith("/>") | name.isin(VOID_TAGS), F.lit("")).otherwise(name)
+
+    return F.transform(tags, token)
+
+
+def _walk(tokens: Column) -> Column:
+    """Spans of the texts between the tags: shown ones, those without menus, the main part, headings.
+
+    Text k stands before tag k.  The open elements are one string such as /html/body/div/, so an
+    end tag cuts it at the last element of its name, and an element is closed once the string is no
+    longer than it was in front of it.  A state holds nothing but that string, numbers and the spans found."""
+    no_spans = F.array().cast("array<struct<a:int,b:int>>")
+    none, zero = F.lit(-1), F.lit(0)
+    start = F.struct(
+        zero.alias("i"), F.lit("/").alias("open"),
+        none.alias("hidden_depth"), zero.alias("shown_from"), no_spans.alias("shown"),
+        none.alias("frame_depth"), zero.alias("content_from"), no_spans.alias("content"),
+        none.alias("main_depth"), none.alias("main_from"), none.alias("main_to"),
+        none.alias("body_depth"), none.alias("body_from"), none.alias("body_to"),
+        none.alias("heading_depth"), zero.alias("heading_from"), no_spans.alias("headings"))
+
+    def after(s, t):
+        name = F.substr(t, F.lit(2))
+        path = F.concat(F.lit("/"), name, F.lit("/"))
+        cut = F.left(s["open"], F.length(s["open"]) - F.length(F.call_function("substring_index", s["open"], path, F.lit(-1))) - F.length(name) - 1)
+        again = t.isin(NOT_IN_THEMSELVES) & F.endswith(s["open"], F.concat(F.lit("/"), t, F.lit("/")))
+        return (F.when(t == "", s["open"]).when(t.startswith("/"), F.when(F.contains(s["open"], path), cut).otherwise(s["open"]))
+                .when(again, s["open"]).otherwise(F.concat(s["open"], t, F.lit("/"))))
+
+    def hide(s, o, t, tags, depth, begin, spans):
+        was, now, i = F.length(s["open"]), F.length(o), s["i"]
+        opens = (now > was) & (s[depth] < 0) & t.isin(tags)
+        closes = (s[depth] >= 0) & (now <= s[depth])
+        return [F.when(closes, none).when(opens, was).otherwise(s[depth]).alias(depth),
+                F.when(closes, i + 1).otherwise(s[begin]).alias(begin),
+                F.when(opens, F.concat(s[spans], F.array(F.struct(s[begin].alias("a"), i.alias("b"))))).otherwise(s[spans]).alias(spans)]
+
+    def first(s, o, t, tag):
+        was, now, i = F.length(s["open"]), F.length(o), s["i"]
+        opens = (now > was) & (t == tag) & (s[f"{tag}_from"] < 0) & (s["frame_depth"] < 0)
+        closes = (s[f"{tag}_depth"] >= 0) & (now <= s[f"{tag}_depth"])
+        return [F.when(closes, none).when(opens, was).otherwise(s[f"{tag}_depth"]).alias(f"{tag}_depth"),
+                F.when(opens, i + 1).otherwise(s[f"{tag}_from"]).alias(f"{tag}_from"),
+                F.when(closes, i).otherwise(s[f"{tag}_to"]).alias(f"{tag}_to")]
+
+    def headings(s, o, t):
+        was, now, i = F.length(s["open"]), F.length(o), s["i"]
+        opens = (now > was) & t.isin("h2", "h3") & (s["heading_depth"] < 0) & (s["frame_depth"] < 0)
+        closes = (s["heading_depth"] >= 0) & (now <= s["heading_depth"])
+        return [F.when(closes, none).when(opens, was).otherwise(s["heading_depth"]).alias("heading_depth"),
+                F.when(opens, i + 1).otherwise(s["heading_from"]).alias("heading_from"),
+                F.when(closes, F.concat(s["headings"], F.array(F.struct(s["heading_from"].alias("a"), i.alias("b"))))).otherwise(s["headings"]).alias("headings")]
+
+    def step(s, t):
+        return bound(after(s, t), lambda o: F.struct(
+            (s["i"] + 1).alias("i"), o.alias("open"),
+            *hide(s, o, t, HIDDEN_TAGS, "hidden_depth", "shown_from", "shown"),
+            *hide(s, o, t, HIDDEN_TAGS + FRAME_TAGS, "frame_depth", "content_from", "content"),
+            *first(s, o, t, "main"), *first(s, o, t, "body"), *headings(s, o, t)))
+
+    def end(s):
+        def rest(spans, open_, begin):
+            return F.when(open_, F.concat(spans, F.array(F.struct(begin.alias("a"), s["i"].alias("b"))))).otherwise(spans)
+
+        low = F.when(s["main_from"] >= 0, s["main_from"]).when(s["body_from"] >= 0, s["body_from"]).otherwise(zero)
+        high = F.when(s["main_from"] >= 0, s["main_to"]).when(s["body_from"] >= 0, s["body_to"]).otherwise(none)
+        return F.struct(
+            rest(s["shown"], s["hidden_depth"] < 0, s["shown_from"]).alias("shown"),
+            rest(s["content"], s["frame_depth"] < 0, s["content_from"]).alias("content"),
+            F.struct(low.alias("a"), F.when(high >= 0, high).otherwise(s["i"]).alias("b")).alias("main"),
+            rest(s["headings"], s["heading_depth"] >= 0, s["heading_from"]).alias("headings"))
+
+    return F.aggregate(tokens, start, step, end)
+
+
+def page_parts(markup) -> Column:
+    """struct(visible, main, headings): markup-free texts, character references not yet resolved.
+
+    visible: all text a reader sees, header and footer included.  main: without menus, headers,
+    footers and forms, of the first main element, else of body, else of the page.  headings: h2 and h3 of that part.
+    Tags are marked in one pass; texts and tags are every second piece then."""
+    marked = F.regexp_replace(F.replace(as_col(markup), F.lit(MARK), F.lit("\ufffd")), TAG, f"{MARK}$0{MARK}")
+
+    def inside(spans, region):
+        return F.transform(
+            F.filter(spans, lambda x: (x["a"] <= region["b"]) & (x["b"] >= region["a"])),
+            lambda x: F.struct(F.greatest(x["a"], region["a"]).alias("a"), F.least(x["b"], region["b"]).alias("b")))
+
+    def joined(texts, spans):
+        return F.array_join(F.flatten(F.transform(spans, lambda x: F.slice(texts, x["a"] + 1, x["b"] - x["a"] + 1))), " ")
+
+    def parts(page):
+        texts, found = page["texts"], page["found"]
+        return bound(inside(found["content"], found["main"]), lambda main: F.struct(
+            joined(texts, found["shown"]).alias("visible"), joined(texts, main).alias("main"),
+            F.transform(inside(found["headings"], found["main"]), lambda h: joined(texts, inside(main, h))).alias("headings")))
+
+    def cut(pieces):
+        texts = F.filter(pieces, lambda _, i: i % 2 == 0)
+        tags = F.filter(pieces, lambda _, i: i % 2 == 1)
+        return bound(F.struct(texts.alias("texts"), _walk(_tokens(tags)).alias("found")), parts)
+
+    return F.when(as_col(markup).isNotNull(), bound(F.split(marked, MARK), cut))
+
+
+def parts_of(html) -> Column:
+    return page_parts(markup_of(html))
+
+
+def part_text(c) -> Column:
+    """Text of a part: character references resolved, white space squeezed."""
+    return squeeze(unescape(c))
 
 
 def html_visible_text(html) -> Column:
     """All text a reader sees; null for a page without text."""
-    return F.nullif(text_of_markup(shown_of(markup_of(html))), F.lit(""))
-
-
-def main_of(shown) -> Column:
-    """Markup of the main part: menus, headers, footers and forms removed, then main, else body."""
-    content = without_blocks(shown, FRAME_TAGS)
-    return F.coalesce(_element(content, "main"), _element(content, "body"), content)
-
-
-def main_markup(html) -> Column:
-    return main_of(shown_of(markup_of(html)))
-
-
-def text_of_markup(markup) -> Column:
-    return squeeze(tag_text(markup))
+    return F.nullif(part_text(parts_of(html)["visible"]), F.lit(""))
 
 
 def html_main_text(html) -> Column:
-    return text_of_markup(main_markup(html))
+    return part_text(parts_of(html)["main"])
 
 
-def headings_of_markup(markup, keep: int | None = None, chars: int | None = None) -> Column:
-    pattern = r"(?is)<(h[23])(?=[\s>/])[^>]*>(.*?)(?:</\1\s*>|\z)"
-    bodies = F.regexp_extract_all(as_col(markup), F.lit(pattern), F.lit(2))
-    texts = F.filter(F.transform(bodies, lambda b: clip_text(tag_text(b), chars)), lambda t: t.isNotNull())
+def heading_texts(headings, keep: int | None = None, chars: int | None = None) -> Column:
+    texts = F.filter(F.transform(as_col(headings), lambda h: clip_text(unescape(h), chars)), lambda t: t.isNotNull())
     return texts if keep is None else F.slice(texts, 1, keep)
 
 
 def html_headings(html, keep: int | None = None, chars: int | None = None) -> Column:
-    return headings_of_markup(main_markup(html), keep, chars)
+    return heading_texts(parts_of(html)["headings"], keep, chars)
 
 
 def captcha_flag(title, text, words, pattern=presets.CAPTCHA_PATTERN,
                  max_words: int = presets.CAPTCHA_MAX_WORDS) -> Column:
     """A challenge page: the title says so, or a short text does."""
-    in_title = F.coalesce(as_col(title), F.lit("")).rlike(pattern)
-    return in_title | ((as_col(words) < max_words) & F.coalesce(as_col(text), F.lit("")).rlike(pattern))
+    in_title = matches(F.coalesce(as_col(title), F.lit("")), pattern)
+    return in_title | ((as_col(words) < max_words) & matches(F.coalesce(as_col(text), F.lit("")), pattern))
 
 
 def fetch_status(http_status, content_type, captcha) -> Column:

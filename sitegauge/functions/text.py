@@ -13,6 +13,11 @@ def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value: Column, use) -> Column:
+    """use(value) with the value computed once per row, however often `use` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def clean_text(c) -> Column:
     """Runs of ASCII whitespace become one space; no space at either end."""
     return F.trim(F.regexp_replace(as_col(c), r"\s+", " "))

@@ -33,21 +33,20 @@ def extract_pages(fetched: DataFrame) -> DataFrame:
     fields = (
         fetched.withColumn("_page", H.without_comments(F.when(readable, F.col("html")))).drop("html")
         .withColumn("_markup", H.without_blocks("_page", H.CODE_TAGS))
-        .withColumn("_shown", H.shown_of("_markup"))
+        .withColumn("_parts", H.page_parts("_markup"))
         .withColumns({
             "title": H.title_of("_markup"),
             "_blocks": F.coalesce(H.json_ld_blocks("_page"), no_strings),
             "_links": F.coalesce(F.transform(H.hrefs_of("_markup"), lambda h: U.resolve_url(page_url, h)), no_strings),
-            "_visible": F.coalesce(H.text_of_markup("_shown"), F.lit("")),
-            "_main": H.main_of("_shown")})
-        .withColumn("_text", H.text_of_markup("_main"))
+            "_visible": H.part_text("_parts.visible"),
+            "_text": H.part_text("_parts.main")})
         .withColumn("_words", X.word_count("_text"))
     )
     return fields.select(
         *[c for c in fetched.columns if c not in ("html", "content_type", "base_url")],
         H.fetch_status("http_status", "content_type", F.coalesce(H.captcha_flag("title", "_text", "_words"), F.lit(False))).alias("fetch_status"),
         "title", H.meta_description_of("_markup").alias("meta_description"), H.h1_of("_markup").alias("h1"),
-        F.coalesce(H.headings_of_markup("_main"), no_strings).alias("headings"),
+        F.coalesce(H.heading_texts("_parts.headings"), no_strings).alias("headings"),
         F.nullif("_text", F.lit("")).alias("body_text"),
         F.coalesce("_words", F.lit(0)).alias("word_count"),
         F.col("_blocks").alias("json_ld"),

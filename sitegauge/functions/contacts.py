@@ -4,23 +4,40 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sitegauge import presets
-from sitegauge.functions.text import as_col, clip_text, format_phone, sentence_split, state_code
+from sitegauge.functions.prefilter import matches
+from sitegauge.functions.text import as_col, bound, clip_text, format_phone, sentence_split, state_code
 
 CONTACT_TYPE = "array<struct<value:string,context:string,source:string>>"
+#: Put around matches; a character that no text may hold, replaced where one does.
+MARK = "\uffff"
 
 
-def matches_in_context(text, pattern: str, width: int = presets.CONTACT_CONTEXT_CHARS) -> Column:
+def matches_in_context(text, pattern: str, width: int = presets.CONTACT_CONTEXT_CHARS, shortest: int = 10) -> Column:
     """All matches as array<struct<before, match, after>> with up to `width` characters on each side.
 
-    The surroundings are look-arounds, so they are not consumed and neighbouring matches may share
-    them.  The leading look-ahead rejects most positions before anything else is tried.  `pattern`
-    must not contain capturing groups."""
-    rx = (rf"(?s)(?={pattern})(?<=(^.{{0,{width - 1}}}|.{{{width}}}))({pattern})(?=(.{{0,{width}}}))")
-    t = as_col(text)
-    groups = [F.regexp_extract_all(t, F.lit(rx), F.lit(i)) for i in (1, 2, 3)]
-    found = F.arrays_zip(*[g.alias(n) for g, n in zip(groups, ["before", "match", "after"])])
+    One pass of the pattern puts marks around its matches, and the text is split at them, so every
+    second piece is a match.  The surroundings come from the neighbouring pieces, of which only the
+    ends are kept; neighbouring matches may share them.  `shortest`: no match is shorter, which
+    bounds how many pieces the surroundings can reach over."""
+    reach = 2 * -(-width // shortest) + 1
+    plain = F.replace(as_col(text), F.lit(MARK), F.lit("\ufffd"))
+    pieces = F.split(F.regexp_replace(plain, pattern, f"{MARK}$0{MARK}"), MARK)
+
+    def around(p, tails, heads):
+        def one(k):
+            place = 2 * k + 2  # of the match, counted from 1
+            low = F.greatest(F.lit(1), place - reach)
+            return F.struct(
+                F.right(F.array_join(F.slice(tails, low, place - low), ""), F.lit(width)).alias("before"),
+                F.get(p, place - 1).alias("match"),
+                F.left(F.array_join(F.slice(heads, place + 1, reach), ""), F.lit(width)).alias("after"))
+        return F.when(F.size(p) > 1, F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 3) / 2).cast("int")), one))
+
+    cut = bound(pieces, lambda p: F.struct(
+        p.alias("p"), F.transform(p, lambda x: F.right(x, F.lit(width))).alias("tails"), F.transform(p, lambda x: F.left(x, F.lit(width))).alias("heads")))
+    found = bound(cut, lambda c: around(c["p"], c["tails"], c["heads"]))
     typed = "array<struct<before:string,match:string,after:string>>"
-    return F.when(t.rlike(pattern), found.cast(typed)).otherwise(F.array().cast(typed))
+    return F.coalesce(found.cast(typed), F.array().cast(typed))
 
 
 def marked(m: Column) -> Column:
@@ -97,12 +114,11 @@ def contacts_first_wins(candidates, keep: int | None = None) -> Column:
     place again.  Each step is bound to a lambda variable, so it is computed once per page."""
     def choose(found):
         placed = F.array_sort(F.transform(found, lambda c, i: F.struct(c["value"].alias("v"), i.alias("i"))))
-        firsts = F.get(F.transform(F.array(placed), lambda p: F.filter(
-            p, lambda x, k: (k == 0) | (F.get(p, k - 1)["v"] != x["v"]))), F.lit(0))
+        firsts = bound(placed, lambda p: F.filter(p, lambda x, k: (k == 0) | (F.get(p, k - 1)["v"] != x["v"])))
         order = F.array_sort(F.transform(firsts, lambda x: x["i"]))
         return F.transform(order if keep is None else F.slice(order, 1, keep), lambda i: F.get(found, i))
 
-    return F.get(F.transform(F.array(as_col(candidates)), choose), F.lit(0))
+    return bound(as_col(candidates), choose)
 
 
 def page_phones(text, links, blocks) -> Column:
@@ -133,9 +149,9 @@ def _score(points: int, label) -> Column:
 
 def score_address(context, source, url) -> Column:
     """struct(score, match): words for a head office in front, structured data, contact page, other."""
-    return (F.when(text_before(context).rlike(presets.HQ_PATTERN), _score(3, "stated headquarters"))
+    return (F.when(matches(text_before(context), presets.HQ_PATTERN), _score(3, "stated headquarters"))
             .when(as_col(source) == "json_ld", _score(2, "structured data"))
-            .when(as_col(url).rlike(presets.CONTACT_URL_PATTERN), _score(1, "contact or about page"))
+            .when(matches(url, presets.CONTACT_URL_PATTERN), _score(1, "contact or about page"))
             .otherwise(_score(0, "most frequent on site")))
 
 
@@ -144,9 +160,9 @@ def score_phone(context, source, url) -> Column:
     before = text_before(context)
     fax = F.right(before, F.lit(presets.FAX_WINDOW_RANKING)).rlike(presets.FAX_PATTERN)
     structured = F.when(as_col(source) == "tel_link", F.lit("phone link")).otherwise(F.lit("structured data"))
-    return (F.when(~fax & before.rlike(presets.HQ_PATTERN), _score(3, "stated headquarters"))
+    return (F.when(~fax & matches(before, presets.HQ_PATTERN), _score(3, "stated headquarters"))
             .when(~fax & as_col(source).isin("tel_link", "json_ld"), _score(2, structured))
-            .when(~fax & as_col(url).rlike(presets.CONTACT_URL_PATTERN), _score(1, "contact or about page"))
+            .when(~fax & matches(url, presets.CONTACT_URL_PATTERN), _score(1, "contact or about page"))
             .when(~fax, _score(0, "most frequent on site")))
 
 

@@ -63,7 +63,7 @@ def failure_streak(spark, sf):
 
 @register("empty_type_streak", f"SELECT serial_no, page_type, max(streak) AS longest_streak, max(streak) >= 10 AS skipped FROM {EMPTIES} GROUP BY serial_no, page_type")
 def empty_type_streak(spark, sf):
-    return streaks.empty_type_streak(log(spark, sf), "serial_no", ["scraped_at", "event_id"], hour())
+    return streaks.empty_type_streak(log(spark, sf), "serial_no", ["scraped_at", "event_id"], hour()).drop("reached_at")
 
 
 DURATION = "round((epoch_us(max(scraped_at)) - epoch_us(min(scraped_at))) / 1e6, 1)"

@@ -1,7 +1,5 @@
 """Sources and sinks on the given tables."""
 
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,10 +18,6 @@ def raw_companies(spark, sf):
     return rows.toDF("﻿Serial No", " Company Name ", "Company Site URL").withColumn("extra", F.lit(1))
 
 
-def scratch_name():
-    return "sitegauge_" + uuid.uuid4().hex
-
-
 @register("read_landing_csv", RAW)
 def read_landing_csv(spark, sf):
     """Companies written as CSV files and read back as a landing folder."""
@@ -56,8 +50,8 @@ def rename_project(spark, sf):
 
 @register("read_table", "SELECT c_custkey, c_name FROM customer")
 def read_table(spark, sf):
-    name = scratch_name()
-    S.table(spark, sf, "customer").createOrReplaceTempView(name)
+    name = S.scratch_table(spark, "customer")
+    I.overwrite_table(S.table(spark, sf, "customer"), name)
     return I.read_table(spark, name, ["c_custkey", "c_name"])
 
 
@@ -80,8 +74,8 @@ def inline_table(spark, sf):
 
 @register("read_previous_snapshot", f"SELECT state, zip, latitude, longitude, geocoded_city, geocoded_place FROM {S.sql(S.PREVIOUS)}")
 def read_previous_snapshot(spark, sf):
-    name = scratch_name()
-    S.frame(spark, sf, S.PREVIOUS).createOrReplaceTempView(name)
+    name = S.scratch_table(spark, "contacts")
+    I.overwrite_table(S.frame(spark, sf, S.PREVIOUS), name)
     schema = "state string, zip string, latitude double, longitude double, geocoded_city string, geocoded_place string"
     return I.read_previous_snapshot(spark, name, schema, "geocoded_city").withColumns(
         {"latitude": F.col("latitude").cast("double"), "longitude": F.col("longitude").cast("double")})
@@ -89,16 +83,20 @@ def read_previous_snapshot(spark, sf):
 
 @register("overwrite_table", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def overwrite_table(spark, sf):
-    folder = S.shared_folder(spark)
-    I.overwrite_files(S.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), folder)
-    I.overwrite_files(S.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), folder)
-    return spark.read.parquet(folder)
+    """A catalog table replaced by one with more columns that is made from the table itself."""
+    name = S.scratch_table(spark, "orders")
+    orders = S.table(spark, sf, "orders")
+    I.overwrite_table(orders.select("o_orderkey", "o_custkey"), name, nonempty=True)
+    wider = I.read_table(spark, name).join(orders.select("o_orderkey", "o_totalprice"), "o_orderkey")
+    I.overwrite_table(wider, name, nonempty=True)
+    return I.read_table(spark, name)
 
 
 @register("report_row_count", "SELECT count(*) AS written FROM orders")
 def report_row_count(spark, sf):
-    written = I.overwrite_files(S.table(spark, sf, "orders"), S.shared_folder(spark))
-    return spark.range(1).select(F.lit(written).cast("bigint").alias("written"))
+    name = S.scratch_table(spark, "orders")
+    I.overwrite_table(S.table(spark, sf, "orders"), name)
+    return I.written_rows(spark, name).select("written")
 
 
 @register("guard_nonempty", "SELECT c_custkey FROM customer")

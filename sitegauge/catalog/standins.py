@@ -5,11 +5,11 @@ plain SQL that Spark and the checking engine both run.  The derivation only shap
 rule under test is written separately in Spark and in the checking SQL.
 """
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sitegauge.sources.staging import new_folder
 from sitegauge.sources.tables import read_parquet
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -55,8 +55,8 @@ SITE_PAGES = """
 SELECT serial_no, base || path AS url,
        CASE WHEN doc_id % 19 = 3 THEN 'https://elsewhere.example.net/' || path ELSE base || path END AS final_url,
        page_type, CASE WHEN doc_id % 17 = 5 THEN 'http_error' ELSE 'ok' END AS fetch_status,
-       CASE WHEN doc_id % 2 = 0 THEN substring(text, 1, 40) END AS meta_description,
-       CASE WHEN doc_id % 3 = 0 THEN substring(text, 1, 30) || ' | Site' END AS h1,
+       CASE WHEN doc_id % 2 = 0 THEN regexp_extract(text, '^[^.!?]*[.!?]?', 0) END AS meta_description,
+       CASE WHEN doc_id % 3 = 0 THEN regexp_extract(text, '^[^.!?]*[.!?]?', 0) || ' | Site' END AS h1,
        CASE WHEN doc_id % 29 <> 7 THEN text || CASE doc_id % 9
             WHEN 0 THEN ' Our electric battery range.' WHEN 1 THEN ' Autonomous and driverless work.'
             WHEN 2 THEN ' Fleet Management by telematics' WHEN 3 THEN ' GPS grade control'
@@ -64,9 +64,10 @@ SELECT serial_no, base || path AS url,
             WHEN 6 THEN ' sustainable net zero carbon' ELSE '' END END AS body_text,
        CAST(floor(n_chars / 6) AS INT) AS word_count, doc_id
 FROM (SELECT d.*, substring(d.source, 4, 9) AS serial_no, 'https://www.site' || substring(d.source, 4, 9) || '.example.com/' AS base,
-             CASE WHEN d.doc_id = h.home_id THEN 'home' WHEN d.doc_id % 10 = 1 THEN 'about' ELSE 'other' END AS page_type,
-             CASE WHEN d.doc_id = h.home_id THEN '' ELSE 'page/' || CAST(d.doc_id AS STRING) END AS path
-      FROM {documents} d JOIN (SELECT source, min(doc_id) AS home_id FROM {documents} GROUP BY source) h ON d.source = h.source)
+             CASE WHEN h.home_id IS NOT NULL THEN 'home' WHEN d.doc_id % 10 = 1 THEN 'about' ELSE 'other' END AS page_type,
+             CASE WHEN h.home_id IS NOT NULL THEN '' ELSE 'page/' || CAST(d.doc_id AS STRING) END AS path
+      FROM {documents} d LEFT JOIN (SELECT min(doc_id) AS home_id FROM {documents} GROUP BY source) h ON d.doc_id = h.home_id
+      WHERE d.source IS NOT NULL)
 """
 
 SCRAPE_STATUS = """
@@ -216,6 +217,12 @@ def sql(template: str) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder that all executors reach; a local one only where none is configured."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sitegauge-")
-    return f"{root.rstrip('/')}/sitegauge-{uuid.uuid4().hex}"
+    """A new folder that all executors reach."""
+    return new_folder(spark, "sitegauge")
+
+
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """Name of a new table in a database whose folder all executors reach."""
+    database = f"sitegauge_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{new_folder(spark, database)}'")
+    return f"{database}.{name}"

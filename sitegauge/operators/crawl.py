@@ -39,9 +39,15 @@ def url_inventory(candidates: DataFrame, sites: DataFrame, site: str = "serial_n
 
     candidates: (site, url, lastmod, source, priority, position).  The address a crawl starts from
     is the home page, whatever its path."""
-    scoped = in_scope(candidates, sites, site)
-    # The whole text of the address closes the order: two spellings can share one key.
-    unique = first_per_group(scoped, [site, "url_key"], ["priority", "position", "url"])
+    return _typed(_first_of_keys(in_scope(candidates, sites, site), site), site)
+
+
+def _first_of_keys(scoped: DataFrame, site: str) -> DataFrame:
+    """One row per site and key; the whole text of the address closes the order: two spellings can share one key."""
+    return first_per_group(scoped, [site, "url_key"], ["priority", "position", "url"])
+
+
+def _typed(unique: DataFrame, site: str) -> DataFrame:
     typed = classify(unique)
     home = F.col("url_key") == U.url_key("start_url")
     return typed.withColumn("page_type", F.when(home, F.lit("home")).otherwise(F.col("page_type"))).select(
@@ -49,12 +55,39 @@ def url_inventory(candidates: DataFrame, sites: DataFrame, site: str = "serial_n
 
 
 def frontier_expand(links: DataFrame, known: DataFrame, sites: DataFrame, site: str = "serial_no") -> DataFrame:
-    """One round of link discovery: addresses that pages link to, in scope and not known yet."""
+    """One round of link discovery: addresses that pages link to, in scope and not known yet.
+
+    Known addresses go by their key before anything is classified."""
     found = links.select(site, "url").distinct().select(
         site, "url", F.lit(None).cast("string").alias("lastmod"), F.lit("links").alias("source"),
         F.lit(0).alias("priority"), F.lit(0).alias("position"))
-    return url_inventory(found, sites, site).join(known.select(site, "url_key"), [site, "url_key"], "left_anti").select(
-        site, "url", "url_key", "relative_path", "page_type", "section", "category", "depth", "lastmod", "source")
+    new = in_scope(found, sites, site).join(known.select(site, "url_key").distinct(), [site, "url_key"], "left_anti")
+    return _typed(_first_of_keys(new, site), site)
+
+
+def discover_links(starts: DataFrame, links: DataFrame, sites: DataFrame, max_rounds: int | None = None,
+                   site: str = "serial_no") -> DataFrame:
+    """Addresses reached from the start addresses by following links, with the round that found them.
+
+    starts: (site, url).  links: (site, page, url), `page` being the address of the page that holds
+    the link.  Round 0 are the starts in scope; each further round takes the links of the pages that
+    the last one found, and what is not known yet becomes the next.  The known set only grows: one
+    narrow table per round in the shared folder, so a lost executor costs one round.  It ends when
+    nothing new appears, or after `max_rounds`; circles of links need no care."""
+    from sitegauge.sources.staging import staged
+
+    first = starts.select(site, "url", F.lit(None).cast("string").alias("lastmod"), F.lit("start").alias("source"),
+                          F.lit(0).alias("priority"), F.lit(0).alias("position"))
+    edges = staged(links.select(site, U.url_key("page").alias("_page"), "url").distinct(), "links")
+    found = staged(url_inventory(first, sites, site).withColumn("round", F.lit(0)), "found-links")
+    known, number = found, 0
+    while (max_rounds is None or number < max_rounds) and not found.isEmpty():
+        number += 1
+        pages = found.select(site, F.col("url_key").alias("_page"))
+        next_ = frontier_expand(edges.join(pages, [site, "_page"], "left_semi"), known, sites, site)
+        found = staged(next_.withColumn("round", F.lit(number)), "found-links")
+        known = known.unionByName(found)
+    return known
 
 
 def contact_pages_first(inventory: DataFrame, site: str = "serial_no", k: int | None = None) -> DataFrame:
@@ -76,6 +109,29 @@ def _type_priority():
     return chosen
 
 
+def starts_and_rows(inventory: DataFrame, site: str = "serial_no") -> tuple[DataFrame, DataFrame]:
+    """The start page of every site, and the other rows of the sites whose start page is open."""
+    rows = inventory if "allowed" in inventory.columns else inventory.withColumn("allowed", F.lit(True))
+    is_start = F.col("page_type") == "home"
+    if "start_key" in rows.columns:
+        is_start = F.when(F.col("start_key").isNotNull(), F.col("url_key") == F.col("start_key")).otherwise(is_start)
+    starts = first_per_group(rows.where(is_start), [site], ["depth", "url"])
+    rows = rows.select(site, "url", "url_key", "relative_path", "page_type", "depth", "allowed")
+    rows = rows.join(starts.where(~F.col("allowed")).select(site), site, "left_anti")
+    return starts, rows.join(starts.where("allowed").select(site, "url"), [site, "url"], "left_anti")
+
+
+def candidates(rows: DataFrame, site: str = "serial_no", max_contacts: int | None = None) -> DataFrame:
+    """Pages in the order in which a crawl comes to them, closed ones too: stage, place, depth, url.
+
+    Contact pages are stage 0; what is also queued by its type keeps its first place."""
+    contacts = contact_pages_first(rows, site, max_contacts).select(
+        site, "url", "url_key", "page_type", "allowed", F.lit(0).alias("stage"), F.col("contact_rank").alias("place"), "depth")
+    typed = rows.withColumn("place", _type_priority()).where(F.col("place").isNotNull()).select(
+        site, "url", "url_key", "page_type", "allowed", F.lit(1).alias("stage"), "place", "depth")
+    return first_per_group(contacts.unionByName(typed), [site, "url_key"], ["stage", "place", "depth", "url"])
+
+
 def crawl_plan(inventory: DataFrame, site: str = "serial_no", max_pages: int | None = None,
                max_products: int | None = None, max_contacts: int | None = None) -> DataFrame:
     """Pages to visit with their visit order; 0 is the start page.
@@ -86,15 +142,8 @@ def crawl_plan(inventory: DataFrame, site: str = "serial_no", max_pages: int | N
     boolean column `allowed` keeps pages out that robots rules close; a site whose start page is
     closed is not visited.  The start page is the row whose url_key is the optional column
     start_key, else the home page with the least depth and address: one row per site."""
-    rows = inventory if "allowed" in inventory.columns else inventory.withColumn("allowed", F.lit(True))
-    is_start = F.col("page_type") == "home"
-    if "start_key" in rows.columns:
-        is_start = F.when(F.col("start_key").isNotNull(), F.col("url_key") == F.col("start_key")).otherwise(is_start)
-    starts = first_per_group(rows.where(is_start), [site], ["depth", "url"])
-    rows = rows.select(site, "url", "url_key", "relative_path", "page_type", "depth", "allowed")
-    rows = rows.join(starts.where(~F.col("allowed")).select(site), site, "left_anti")
+    starts, rows = starts_and_rows(inventory, site)
     start = starts.where("allowed").select(site, "url", "page_type", F.lit(0).alias("visit_order"))
-    rows = rows.join(start.select(site, "url"), [site, "url"], "left_anti")
     contacts = contact_pages_first(rows, site, max_contacts).where("allowed").select(
         site, "url", "page_type", F.lit(0).alias("_stage"), F.col("contact_rank").alias("_place"), "depth")
     typed = rows.where("allowed").withColumn("_place", _type_priority()).where(F.col("_place").isNotNull())
@@ -164,7 +213,7 @@ def site_status(facts: DataFrame) -> DataFrame:
         F.when(F.col("robots_denied"), F.concat(F.lit("robots.txt (HTTP "), robots_code, F.lit(") does not allow "), F.col("start_url")))
         .when(refused, F.concat(F.lit("start page returned "), F.col("start_status"), F.lit(" (HTTP "), code, F.lit(")")))
         .when(stopped, F.lit(f"stopped after {presets.MAX_CONSECUTIVE_FAILURES} failed pages in a row"))
-        .when(none_read, F.substring(F.concat(F.lit("no page could be scraped; start page: "), reason), 1, 500))
+        .when(none_read, F.concat(F.lit("no page could be scraped; start page: "), reason))
         .when(thin, noted("pages have little text; content is likely loaded by JavaScript"))
         .when(failing, noted("more than 20% of pages failed"))
         .otherwise(F.nullif(F.array_join(F.coalesce("notes", F.array().cast("array<string>")), "; "), F.lit(""))))
@@ -192,7 +241,9 @@ def scrape_status(sites: DataFrame, log: DataFrame, inventory: DataFrame | None
     stops = streaks.failure_streak(followed, site, ["visit_order"], piece).select(site, "stopped")
     empty = streaks.empty_type_streak(followed, site, ["visit_order"], piece).where("skipped")
     note = F.format_string(f"skipped remaining %s pages after {presets.EMPTY_PAGES_BEFORE_SKIP} empty ones", "page_type")
-    notes = empty.groupBy(site).agg(F.array_sort(F.collect_list(note)).alias("notes"))
+    # in the order in which the types ran empty
+    notes = empty.groupBy(site).agg(F.array_sort(F.collect_list(F.struct("reached_at", note.alias("note")))).alias("_notes"))
+    notes = notes.select(site, F.transform("_notes", lambda n: n["note"]).alias("notes"))
     spans = aggregates.site_duration(log, site)
     facts = sites
     for part in (counts, median, start, stops, notes, spans):

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 def salts_of(df: DataFrame) -> int:
     """Buckets that a hot key is spread over: a quarter of the session's shuffle partitions."""
-    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+    setting = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    # some platforms choose the number themselves and say "auto"
+    partitions = int(setting) if setting.isdigit() else 4 * df.sparkSession.sparkContext.defaultParallelism
+    return max(2, partitions // 4)
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, on, how: str = "left", spread=(), salts: int | None = None) -> DataFrame:

@@ -46,6 +46,21 @@ def running_streak(df: DataFrame, keys, order, flag: Column, chunk: Column, out:
             .select(*columns, out))
 
 
+def running_total(df: DataFrame, keys, order, value: Column, chunk: Column, out: str = "total") -> DataFrame:
+    """Sum of `value` over the rows of a sequence up to each row, its own included.
+
+    Chunks as in running_streak: sums inside each chunk, plus those of the chunks before."""
+    keys = list(keys)
+    columns = df.columns
+    rows = df.withColumn("_chunk", chunk).withColumn("_value", F.coalesce(value.cast("bigint"), F.lit(0)))
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    sums = rows.groupBy(*keys, "_chunk").agg(F.sum("_value").alias("_sum"))
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(F.struct(*keys, "_chunk").alias("_place"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_carry"))
+    joined = rows.withColumn("_local", F.sum("_value").over(inside)).withColumn("_place", F.struct(*keys, "_chunk")).join(carried, "_place")
+    return joined.withColumn(out, F.col("_local") + F.col("_carry")).select(*columns, out)
+
+
 def hard_failure(fetch_status: str = "fetch_status", http_status: str = "http_status") -> Column:
     """Signs of being blocked or of an overloaded site; a missing page is not one."""
     return F.col(fetch_status).isin("blocked", "captcha", "error") | (F.coalesce(http_status, F.lit(0)) >= 500)
@@ -64,8 +79,10 @@ def empty_type_streak(log: DataFrame, site: str, order, chunk: Column, page_type
                       words: str = "word_count", ok: Column | None = None,
                       min_words: int = presets.EMPTY_PAGE_WORDS,
                       limit: int = presets.EMPTY_PAGES_BEFORE_SKIP) -> DataFrame:
-    """Per site and page type the longest run of near-empty pages among the pages that were read."""
+    """Per site and page type the longest run of near-empty pages among the pages that were read, and
+    where in `order` a run first reached the limit."""
     readable = log.where((F.col("fetch_status") == "ok") if ok is None else ok)
     runs = running_streak(readable, [site, page_type], order, F.col(words) < min_words, chunk)
     return runs.groupBy(site, page_type).agg(F.max("streak").alias("longest_streak"),
-                                             (F.max("streak") >= limit).alias("skipped"))
+                                             (F.max("streak") >= limit).alias("skipped"),
+                                             F.min(F.when(F.col("streak") >= limit, F.struct(*order))).alias("reached_at"))

@@ -1,4 +1,13 @@
-"""Tables in and out: landing files, catalog tables, guards and full replacement."""
+"""Tables in and out: landing files, catalog tables, guards and full replacement.
+
+A table that is replaced as a whole is a view over its newest version.  A version is a table of its
+own, written and checked beside the one in use; the switch is one change in the catalog.  Until then,
+and after a write that failed, everybody reads the old rows.
+"""
+
+import time
+import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +36,9 @@ def file_lineage(df: DataFrame) -> DataFrame:
     return df.withColumn("_ingested_at", F.current_timestamp())
 
 
-def clean_header(name: str) -> str:
-    return name.lstrip("\ufeff").strip()
-
-
 def normalize_headers(df: DataFrame) -> DataFrame:
-    return df.toDF(*map(clean_header, df.columns))
+    """Column names without a byte order mark and without white space around them."""
+    return df.toDF(*[name.strip("\ufeff \t\r\n") for name in df.columns])
 
 
 def require_columns(df: DataFrame, names) -> DataFrame:
@@ -102,9 +108,59 @@ def _counted(df: DataFrame, write) -> int:
     return seen.get["rows"]
 
 
-def overwrite_table(df: DataFrame, name: str) -> int:
-    """Replace a catalog table, also its columns; returns the row count."""
-    return _counted(df, lambda d: d.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name))
+VERSION = "__version_"
+
+
+@dataclass
+class Version:
+    """A written version of a table that is not in use yet."""
+
+    name: str
+    table: str
+    rows: int
+
+
+def write_version(df: DataFrame, name: str) -> Version:
+    """Write a new version beside the one in use; `df` may read the table itself."""
+    table = f"{name}{VERSION}{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    return Version(name, table, _counted(df, lambda d: d.write.saveAsTable(table)))
+
+
+def versions_of(spark: SparkSession, name: str) -> list:
+    """Tables of the written versions, oldest first."""
+    database, _, short = name.rpartition(".")
+    tables = spark.catalog.listTables(database or None)
+    start = (short + VERSION).lower()
+    return sorted((f"{database}." if database else "") + t.name for t in tables if t.name.lower().startswith(start))
+
+
+def switch_to(spark: SparkSession, version: Version, columns=None, keep: int = 2) -> None:
+    """Let the table be this version, or `columns` of it, and drop all but the `keep` newest versions.
+
+    A plain table of that name becomes the oldest version first."""
+    if spark.catalog.tableExists(version.name) and spark.catalog.getTable(version.name).tableType != "VIEW":
+        spark.sql(f"ALTER TABLE {version.name} RENAME TO {version.name}{VERSION}{0:020d}_{uuid.uuid4().hex[:8]}")
+    listed = ", ".join(f"`{c}`" for c in columns) if columns else "*"
+    spark.sql(f"CREATE OR REPLACE VIEW {version.name} AS SELECT {listed} FROM {version.table}")
+    for old in [t for t in versions_of(spark, version.name) if t.lower() != version.table.lower()][:-(keep - 1) or None]:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def overwrite_table(df: DataFrame, name: str, nonempty: bool = False) -> int:
+    """Replace a catalog table, also its columns; returns the row count.
+
+    With `nonempty` a table without rows is not taken: the old one stays and the call fails."""
+    version = write_version(df, name)
+    if nonempty and not version.rows:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {version.table}")
+        raise ValueError(f"{name}: no rows; nothing was overwritten")
+    switch_to(df.sparkSession, version)
+    return version.rows
+
+
+def written_rows(spark: SparkSession, name: str) -> DataFrame:
+    """(table_name, written): how many rows the table in use holds, counted where they lie."""
+    return spark.table(name).agg(F.count("*").alias("written")).select(F.lit(name).alias("table_name"), "written")
 
 
 def overwrite_files(df: DataFrame, path: str) -> int:

@@ -7,6 +7,7 @@ from sitegauge.catalog import checks as K
 from sitegauge.catalog import gold_queries as Q
 from sitegauge.catalog.registry import register
 from sitegauge.plans import serving as V
+from sitegauge.plans import tiles as T
 
 COMPANY_SQL = f"""(SELECT brand, company_name, website, coalesce(hq_address, 'Not published on website') AS hq_location,
   coalesce(phone, 'Not published on website') AS phone, coalesce(CAST(founded_year AS VARCHAR), '-') AS founded, data_note FROM {K.DIM})"""
@@ -112,11 +113,17 @@ def kpi_news(spark, sf):
     return V.kpi_news(news(spark, sf))
 
 
-@register("widget_aggregates", f"""SELECT category, count(brand) AS brands, count(DISTINCT segment) AS segments, CAST(sum(product_pages) AS BIGINT) AS product_pages
-  FROM {CATEGORIES_SQL} GROUP BY category""")
+@register("widget_aggregates", f"""SELECT 'kpi_categories' AS tile, CAST(NULL AS VARCHAR) AS category, CAST(NULL AS VARCHAR) AS brand, CAST(count(DISTINCT category) AS DOUBLE) AS value FROM {CATEGORIES_SQL}
+  UNION ALL SELECT 'kpi_products', NULL, NULL, CAST(sum(product_pages) AS DOUBLE) FROM {CATEGORIES_SQL}
+  UNION ALL SELECT 'heat_portfolio', category, brand, round(sum(share_of_company), 9) FROM {CATEGORIES_SQL} GROUP BY category, brand
+  UNION ALL SELECT 'segments', NULL, brand, CAST(count(DISTINCT segment) AS DOUBLE) FROM {CATEGORIES_SQL} GROUP BY brand
+  UNION ALL SELECT 'pages_by_category', category, NULL, CAST(sum(product_pages) AS DOUBLE) FROM {CATEGORIES_SQL} GROUP BY category""")
 def widget_aggregates(spark, sf):
-    return categories(spark, sf).groupBy("category").agg(
-        F.count("brand").alias("brands"), F.count_distinct("segment").alias("segments"), F.sum("product_pages").alias("product_pages"))
+    """All tiles of the category dataset, and two more of a user's own, in one scan of it."""
+    own = (T.Tile("segments", "ds_categories", ("brand",), "segment", "count_distinct", "segments"),
+           T.Tile("pages_by_category", "ds_categories", ("category",), "product_pages", "sum", "product_pages"))
+    rows = T.board({"ds_categories": categories(spark, sf)}, T.TILES + own)
+    return rows.select("tile", F.col("dimensions")["category"].alias("category"), F.col("dimensions")["brand"].alias("brand"), F.round("value", 9).alias("value"))
 
 
 @register("map_points", f"SELECT latitude, longitude, brand FROM {LOCATIONS_SQL}")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from sitegauge import presets
 from sitegauge.functions.prefilter import matches
-from sitegauge.functions.text import as_col, bound, clip_text, format_phone, sentence_split, state_code
+from sitegauge.functions.text import as_col, by_sql, clip_text, format_phone, let, sentence_split, state_code
 
 CONTACT_TYPE = "array<struct<value:string,context:string,source:string>>"
 #: Put around matches; a character that no text may hold, replaced where one does.
@@ -23,21 +23,14 @@ def matches_in_context(text, pattern: str, width: int = presets.CONTACT_CONTEXT_
     plain = F.replace(as_col(text), F.lit(MARK), F.lit("\ufffd"))
     pieces = F.split(F.regexp_replace(plain, pattern, f"{MARK}$0{MARK}"), MARK)
 
-    def around(p, tails, heads):
-        def one(k):
-            place = 2 * k + 2  # of the match, counted from 1
-            low = F.greatest(F.lit(1), place - reach)
-            return F.struct(
-                F.right(F.array_join(F.slice(tails, low, place - low), ""), F.lit(width)).alias("before"),
-                F.get(p, place - 1).alias("match"),
-                F.left(F.array_join(F.slice(heads, place + 1, reach), ""), F.lit(width)).alias("after"))
-        return F.when(F.size(p) > 1, F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 3) / 2).cast("int")), one))
-
-    cut = bound(pieces, lambda p: F.struct(
-        p.alias("p"), F.transform(p, lambda x: F.right(x, F.lit(width))).alias("tails"), F.transform(p, lambda x: F.left(x, F.lit(width))).alias("heads")))
-    found = bound(cut, lambda c: around(c["p"], c["tails"], c["heads"]))
+    # place: of the match among the pieces, counted from 1
+    one = f"""named_struct(
+      'before', right(array_join(slice(tails, greatest(1, place - {reach}), place - greatest(1, place - {reach})), ''), {width}),
+      'match', element_at(pieces, place), 'after', left(array_join(slice(heads, place + 1, {reach}), ''), {width}))"""
     typed = "array<struct<before:string,match:string,after:string>>"
-    return F.coalesce(found.cast(typed), F.array().cast(typed))
+    matches = f"transform(sequence(2, size(pieces) - 1, 2), place -> {one})"
+    cut = let("tails", f"transform(pieces, x -> right(x, {width}))", let("heads", f"transform(pieces, x -> left(x, {width}))", matches))
+    return F.coalesce(by_sql(pieces, "pieces", f"CASE WHEN size(pieces) > 1 THEN {cut} END").cast(typed), F.array().cast(typed))
 
 
 def marked(m: Column) -> Column:
@@ -112,13 +105,11 @@ def contacts_first_wins(candidates, keep: int | None = None) -> Column:
 
     Candidates are sorted by value and place, the first of each run stays, and those are sorted by
     place again.  Each step is bound to a lambda variable, so it is computed once per page."""
-    def choose(found):
-        placed = F.array_sort(F.transform(found, lambda c, i: F.struct(c["value"].alias("v"), i.alias("i"))))
-        firsts = bound(placed, lambda p: F.filter(p, lambda x, k: (k == 0) | (F.get(p, k - 1)["v"] != x["v"])))
-        order = F.array_sort(F.transform(firsts, lambda x: x["i"]))
-        return F.transform(order if keep is None else F.slice(order, 1, keep), lambda i: F.get(found, i))
-
-    return bound(as_col(candidates), choose)
+    firsts = "filter(placed, (x, k) -> k = 0 OR placed[k - 1].v != x.v)"
+    order = f"array_sort(transform({firsts}, x -> x.i))"
+    chosen = order if keep is None else f"slice({order}, 1, {keep})"
+    return by_sql(candidates, "found", let(
+        "placed", "array_sort(transform(found, (c, i) -> named_struct('v', c.value, 'i', i)))", f"transform({chosen}, i -> found[i])"))
 
 
 def page_phones(text, links, blocks) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sitegauge import presets
 from sitegauge.functions.prefilter import matches
-from sitegauge.functions.text import as_col, bound, clip_text, squeeze
+from sitegauge.functions.text import as_col, by_sql, clip_text, let, squeeze
 
 COMMENTS = r"(?s)<!--.*?-->"
 CODE_TAGS = ["script", "style"]
@@ -28,70 +28,56 @@ TAG = r"(?s)<(?:/?[A-Za-z]|!|\?)(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>|<(?:/?[A-Za-
 ENTITY = r"&(?=#[0-9]|#[xX][0-9a-fA-F]|[A-Za-z])"
 # Entities met most, tried before the full table.
 COMMON = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "nbsp": "\u00a0"}
-#: Names that older pages write without a semicolon; also the longest one.
-BARE = sorted(n for n in html5 if not n.endswith(";"))
-LONGEST_BARE = max(map(len, BARE))
+#: Names that older pages write without a semicolon, long ones first.
+BARE = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
 
 
-def _character(code: Column) -> Column:
+def _raw(text: str) -> str:
+    """SQL literal of a text without single quotes, backslashes as they are."""
+    return f"r'{text}'"
+
+
+def _table(values: dict) -> str:
+    """SQL map out of one JSON literal: the optimizer folds it into a constant."""
+    return "from_json(" + _raw(json.dumps(values).replace("'", "\\u0027")) + ", 'map<string,string>')"
+
+
+def _character(code: str) -> str:
     """Character of a numeric reference as browsers read it: 128 to 159 are those of the Windows code
     page, other control and non-characters are dropped, what is no character at all is U+FFFD."""
-    windows = {str(c): bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0)}
-    plane = F.pmod(code, F.lit(0x10000))
-    dropped = (code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127)
-               | code.between(0xFDD0, 0xFDEF) | (plane >= 0xFFFE))
-    valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-    bytes4 = F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(F.lit(0xFFFD))), 8, "0"))
-    return (F.when(code.between(0x80, 0x9F), F.element_at(_table(windows), code.cast("string")))
-            .when(valid & dropped, F.lit("")).otherwise(F.decode(bytes4, "UTF-32")))
-
-
-def _table(values: dict) -> Column:
-    """One JSON literal: the optimizer folds it into a constant map."""
-    return F.from_json(F.lit(json.dumps(values)), "map<string,string>")
-
-
-def _by_length(name: Column, known: dict) -> Column:
-    """Value of a name, looked for among the names of its length only; null when it is not there."""
-    chosen = None
-    for length in sorted({len(n) for n in known}):
-        some = {n: v for n, v in sorted(known.items()) if len(n) == length}
-        chosen = (F if chosen is None else chosen).when(F.length(name) == length, F.element_at(_table(some), name))
-    return chosen
-
-
-def _reference(piece: Column) -> Column:
-    """The text of a character reference at the start of `piece` (its ampersand is cut off) and all behind it."""
-    digits = F.regexp_extract(piece, "^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", 0)
-
-    def number(found):
-        hexadecimal = found.rlike("^#[xX]")
-        raw = F.regexp_replace(found, "^#[xX]?0*|;$", "")
-        value = F.when(hexadecimal, F.conv(raw, 16, 10)).otherwise(raw).try_cast("bigint")
-        code = F.when(F.length(raw) > 8, F.lit(0x110000)).otherwise(F.coalesce(value, F.lit(0)))
-        return bound(code, lambda c: F.concat(_character(c), F.substr(piece, F.length(found) + 1)))
-
-    def named(name):
-        closed = F.substr(piece, F.length(name) + 1, F.lit(1)) == ";"
-        exact = None
-        for entity, text in COMMON.items():
-            exact = (F if exact is None else exact).when(name == entity, F.lit(text))
-        exact = exact.otherwise(_by_length(name, {n[:-1]: v for n, v in html5.items() if n.endswith(";") and n[:-1] not in COMMON}))
-        whole = F.when(closed, F.concat(exact, F.substr(piece, F.length(name) + 2)))
-        # without a semicolon: the longest beginning that is one of the older names
-        bare = {n: html5[n] for n in BARE}
-        starts = [F.concat(_by_length(F.left(name, F.lit(k)), {n: v for n, v in bare.items() if len(n) == k}), F.substr(piece, F.lit(k + 1)))
-                  for k in range(LONGEST_BARE, 1, -1) if any(len(n) == k for n in bare)]
-        return F.coalesce(whole, *starts, F.concat(F.lit("&"), piece))
-
-    return F.when(piece.startswith("#"), bound(digits, number)).otherwise(bound(F.regexp_extract(piece, "^[A-Za-z0-9]+", 0), named))
+    windows = ", ".join(_raw(bytes([c]).decode("cp1252", "ignore") or chr(c)) for c in range(0x80, 0xA0))
+    return f"""CASE WHEN {code} BETWEEN 128 AND 159 THEN element_at(array({windows}), CAST({code} - 127 AS INT))
+      WHEN {code} <= 0 OR {code} > 1114111 OR {code} BETWEEN 55296 AND 57343 THEN '\ufffd'
+      WHEN {code} BETWEEN 1 AND 8 OR {code} = 11 OR {code} BETWEEN 14 AND 31 OR {code} = 127 OR {code} BETWEEN 64976 AND 65007
+        OR {code} % 65536 >= 65534 THEN ''
+      ELSE decode(unhex(lpad(hex({code}), 8, '0')), 'UTF-32') END"""
+
+
+def _reference(p: str) -> str:
+    """The text of a character reference at the start of a piece (its ampersand is cut off), and all behind it."""
+    digits = "regexp_replace(found, '^#[xX]?0*|;$', '')"
+    code = f"""CASE WHEN length({digits}) > 8 THEN 1114112L ELSE coalesce(try_cast(
+      CASE WHEN found RLIKE '^#[xX]' THEN conv({digits}, 16, 10) ELSE {digits} END AS BIGINT), 0L) END"""
+    number = let("found", f"regexp_extract({p}, '^#(?:[xX][0-9a-fA-F]+|[0-9]+);?', 0)",
+                 let("code", code, f"concat({_character('code')}, substr({p}, length(found) + 1))"))
+    common = " ".join(f"WHEN '{n}' THEN {_raw(v)}" for n, v in COMMON.items())
+    table = _table({n[:-1]: v for n, v in sorted(html5.items()) if n.endswith(";") and n[:-1] not in COMMON})
+    # without a semicolon: the longest beginning that is one of the older names
+    beginning = let("bare", f"regexp_extract(name, '^(?:{'|'.join(BARE)})', 0)",
+                    f"CASE WHEN bare = '' THEN concat('&', {p}) ELSE concat(element_at({_table({n: html5[n] for n in BARE})}, bare), substr({p}, length(bare) + 1)) END")
+    exact = f"CASE WHEN substr({p}, length(name) + 1, 1) = ';' THEN CASE name {common} ELSE element_at({table}, name) END END"
+    named = let("name", f"regexp_extract({p}, '^[A-Za-z0-9]+', 0)",
+                let("exact", exact, f"CASE WHEN exact IS NOT NULL THEN concat(exact, substr({p}, length(name) + 2)) ELSE {beginning} END"))
+    return f"CASE WHEN startswith({p}, '#') THEN {number} ELSE {named} END"
+
+
+_UNESCAPED = f"""CASE WHEN contains(raw, '&') THEN
+  array_join(transform(split(raw, {_raw(ENTITY)}), (piece, i) -> CASE WHEN i = 0 THEN piece ELSE {_reference('piece')} END), '') ELSE raw END"""
 
 
 def unescape(c) -> Column:
     """Replace character references once, from left to right, with or without a semicolon; unknown names stay."""
-    text = as_col(c)
-    pieces = F.transform(F.split(text, ENTITY), lambda piece, i: F.when(i == 0, piece).otherwise(_reference(piece)))
-    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
+    return by_sql(c, "raw", _UNESCAPED)
 
 
 def _block(tags) -> str:
@@ -188,83 +174,76 @@ def html_hrefs(html) -> Column:
     return hrefs_of(markup_of(html))
 
 
-def _tokens(tags: Column) -> Column:
-    """div for a start tag, /div for an end tag, '' for what opens and closes nothing."""
-    def token(tag):
-        name = F.lower(F.regexp_extract(tag, r"^<(/?[A-Za-z][^\s/>]*)", 1))
-        return F.when(tag.endswith("/>") | name.isin(VOID_TAGS), F.lit("")).otherwise(name)
+def _listed(names) -> str:
+    return "(" + ", ".join(f"'{n}'" for n in names) + ")"
+
 
-    return F.transform(tags, token)
+#: 'div' for a start tag, '/div' for an end tag, '' for what opens and closes nothing.
+_TOKEN = let("name", f"lower(regexp_extract(tag, {_raw('^<(/?[A-Za-z][^\\s/>]*)')}, 1))",
+             f"CASE WHEN endswith(tag, '/>') OR name IN {_listed(VOID_TAGS)} THEN '' ELSE name END")
 
 
-def _walk(tokens: Column) -> Column:
+def _walk(tokens: str) -> str:
     """Spans of the texts between the tags: shown ones, those without menus, the main part, headings.
 
     Text k stands before tag k.  The open elements are one string such as /html/body/div/, so an
     end tag cuts it at the last element of its name, and an element is closed once the string is no
     longer than it was in front of it.  A state holds nothing but that string, numbers and the spans found."""
-    no_spans = F.array().cast("array<struct<a:int,b:int>>")
-    none, zero = F.lit(-1), F.lit(0)
-    start = F.struct(
-        zero.alias("i"), F.lit("/").alias("open"),
-        none.alias("hidden_depth"), zero.alias("shown_from"), no_spans.alias("shown"),
-        none.alias("frame_depth"), zero.alias("content_from"), no_spans.alias("content"),
-        none.alias("main_depth"), none.alias("main_from"), none.alias("main_to"),
-        none.alias("body_depth"), none.alias("body_from"), none.alias("body_to"),
-        none.alias("heading_depth"), zero.alias("heading_from"), no_spans.alias("headings"))
-
-    def after(s, t):
-        name = F.substr(t, F.lit(2))
-        path = F.concat(F.lit("/"), name, F.lit("/"))
-        cut = F.left(s["open"], F.length(s["open"]) - F.length(F.call_function("substring_index", s["open"], path, F.lit(-1))) - F.length(name) - 1)
-        again = t.isin(NOT_IN_THEMSELVES) & F.endswith(s["open"], F.concat(F.lit("/"), t, F.lit("/")))
-        return (F.when(t == "", s["open"]).when(t.startswith("/"), F.when(F.contains(s["open"], path), cut).otherwise(s["open"]))
-                .when(again, s["open"]).otherwise(F.concat(s["open"], t, F.lit("/"))))
-
-    def hide(s, o, t, tags, depth, begin, spans):
-        was, now, i = F.length(s["open"]), F.length(o), s["i"]
-        opens = (now > was) & (s[depth] < 0) & t.isin(tags)
-        closes = (s[depth] >= 0) & (now <= s[depth])
-        return [F.when(closes, none).when(opens, was).otherwise(s[depth]).alias(depth),
-                F.when(closes, i + 1).otherwise(s[begin]).alias(begin),
-                F.when(opens, F.concat(s[spans], F.array(F.struct(s[begin].alias("a"), i.alias("b"))))).otherwise(s[spans]).alias(spans)]
-
-    def first(s, o, t, tag):
-        was, now, i = F.length(s["open"]), F.length(o), s["i"]
-        opens = (now > was) & (t == tag) & (s[f"{tag}_from"] < 0) & (s["frame_depth"] < 0)
-        closes = (s[f"{tag}_depth"] >= 0) & (now <= s[f"{tag}_depth"])
-        return [F.when(closes, none).when(opens, was).otherwise(s[f"{tag}_depth"]).alias(f"{tag}_depth"),
-                F.when(opens, i + 1).otherwise(s[f"{tag}_from"]).alias(f"{tag}_from"),
-                F.when(closes, i).otherwise(s[f"{tag}_to"]).alias(f"{tag}_to")]
-
-    def headings(s, o, t):
-        was, now, i = F.length(s["open"]), F.length(o), s["i"]
-        opens = (now > was) & t.isin("h2", "h3") & (s["heading_depth"] < 0) & (s["frame_depth"] < 0)
-        closes = (s["heading_depth"] >= 0) & (now <= s["heading_depth"])
-        return [F.when(closes, none).when(opens, was).otherwise(s["heading_depth"]).alias("heading_depth"),
-                F.when(opens, i + 1).otherwise(s["heading_from"]).alias("heading_from"),
-                F.when(closes, F.concat(s["headings"], F.array(F.struct(s["heading_from"].alias("a"), i.alias("b"))))).otherwise(s["headings"]).alias("headings")]
-
-    def step(s, t):
-        return bound(after(s, t), lambda o: F.struct(
-            (s["i"] + 1).alias("i"), o.alias("open"),
-            *hide(s, o, t, HIDDEN_TAGS, "hidden_depth", "shown_from", "shown"),
-            *hide(s, o, t, HIDDEN_TAGS + FRAME_TAGS, "frame_depth", "content_from", "content"),
-            *first(s, o, t, "main"), *first(s, o, t, "body"), *headings(s, o, t)))
-
-    def end(s):
-        def rest(spans, open_, begin):
-            return F.when(open_, F.concat(spans, F.array(F.struct(begin.alias("a"), s["i"].alias("b"))))).otherwise(spans)
-
-        low = F.when(s["main_from"] >= 0, s["main_from"]).when(s["body_from"] >= 0, s["body_from"]).otherwise(zero)
-        high = F.when(s["main_from"] >= 0, s["main_to"]).when(s["body_from"] >= 0, s["body_to"]).otherwise(none)
-        return F.struct(
-            rest(s["shown"], s["hidden_depth"] < 0, s["shown_from"]).alias("shown"),
-            rest(s["content"], s["frame_depth"] < 0, s["content_from"]).alias("content"),
-            F.struct(low.alias("a"), F.when(high >= 0, high).otherwise(s["i"]).alias("b")).alias("main"),
-            rest(s["headings"], s["heading_depth"] >= 0, s["heading_from"]).alias("headings"))
-
-    return F.aggregate(tokens, start, step, end)
+    no_spans = "CAST(array() AS array<struct<a:int,b:int>>)"
+    start = f"""named_struct('i', 0, 'open', '/', 'hidden_in', -1, 'shown_from', 0, 'shown', {no_spans}, 'frame_in', -1, 'content_from', 0, 'content', {no_spans},
+      'main_in', -1, 'main_from', -1, 'main_to', -1, 'body_in', -1, 'body_from', -1, 'body_to', -1, 'heading_in', -1, 'heading_from', 0, 'headings', {no_spans})"""
+    path = "concat('/', substr(t, 2), '/')"
+    after = f"""CASE WHEN t = '' THEN s.open
+      WHEN startswith(t, '/') THEN CASE WHEN contains(s.open, {path})
+        THEN left(s.open, length(s.open) - length(substring_index(s.open, {path}, -1)) - length(t)) ELSE s.open END
+      WHEN t IN {_listed(NOT_IN_THEMSELVES)} AND endswith(s.open, concat('/', t, '/')) THEN s.open
+      ELSE concat(s.open, t, '/') END"""
+    opened, was = "(length(o) > length(s.open))", "length(s.open)"
+
+    def closes(depth):
+        return f"(s.{depth} >= 0 AND length(o) <= s.{depth})"
+
+    def hide(tags, depth, begin, spans):
+        opens = f"({opened} AND s.{depth} < 0 AND t IN {_listed(tags)})"
+        return f"""'{depth}', CASE WHEN {closes(depth)} THEN -1 WHEN {opens} THEN {was} ELSE s.{depth} END,
+          '{begin}', CASE WHEN {closes(depth)} THEN s.i + 1 ELSE s.{begin} END,
+          '{spans}', CASE WHEN {opens} THEN concat(s.{spans}, array(named_struct('a', s.{begin}, 'b', s.i))) ELSE s.{spans} END"""
+
+    def first(tag):
+        opens = f"({opened} AND t = '{tag}' AND s.{tag}_from < 0 AND s.frame_in < 0)"
+        return f"""'{tag}_in', CASE WHEN {closes(f'{tag}_in')} THEN -1 WHEN {opens} THEN {was} ELSE s.{tag}_in END,
+          '{tag}_from', CASE WHEN {opens} THEN s.i + 1 ELSE s.{tag}_from END, '{tag}_to', CASE WHEN {closes(f'{tag}_in')} THEN s.i ELSE s.{tag}_to END"""
+
+    heads = f"({opened} AND t IN ('h2', 'h3') AND s.heading_in < 0 AND s.frame_in < 0)"
+    step = let("o", after, f"""named_struct('i', s.i + 1, 'open', o, {hide(HIDDEN_TAGS, 'hidden_in', 'shown_from', 'shown')},
+      {hide(HIDDEN_TAGS + FRAME_TAGS, 'frame_in', 'content_from', 'content')}, {first('main')}, {first('body')},
+      'heading_in', CASE WHEN {closes('heading_in')} THEN -1 WHEN {heads} THEN {was} ELSE s.heading_in END,
+      'heading_from', CASE WHEN {heads} THEN s.i + 1 ELSE s.heading_from END,
+      'headings', CASE WHEN {closes('heading_in')} THEN concat(s.headings, array(named_struct('a', s.heading_from, 'b', s.i))) ELSE s.headings END)""")
+
+    def rest(spans, condition, begin):
+        return f"CASE WHEN {condition} THEN concat(s.{spans}, array(named_struct('a', s.{begin}, 'b', s.i))) ELSE s.{spans} END"
+
+    end = f"""named_struct('shown', {rest('shown', 's.hidden_in < 0', 'shown_from')}, 'content', {rest('content', 's.frame_in < 0', 'content_from')},
+      'low', CASE WHEN s.main_from >= 0 THEN s.main_from WHEN s.body_from >= 0 THEN s.body_from ELSE 0 END,
+      'high', CASE WHEN s.main_from >= 0 THEN if(s.main_to >= 0, s.main_to, s.i) WHEN s.body_from >= 0 THEN if(s.body_to >= 0, s.body_to, s.i) ELSE s.i END,
+      'headings', {rest('headings', 's.heading_in >= 0', 'heading_from')})"""
+    return f"aggregate({tokens}, {start}, (s, t) -> {step}, s -> {end})"
+
+
+def _inside(spans: str, low: str, high: str) -> str:
+    return (f"transform(filter({spans}, x -> x.a <= {high} AND x.b >= {low}), "
+            f"x -> named_struct('a', greatest(x.a, {low}), 'b', least(x.b, {high})))")
+
+
+def _texts(spans: str) -> str:
+    return f"array_join(flatten(transform({spans}, x -> slice(page.texts, x.a + 1, x.b - x.a + 1))), ' ')"
+
+
+_PARTS = let("page", f"""named_struct('texts', filter(pieces, (p, i) -> i % 2 = 0),
+    'found', {_walk(f"transform(filter(pieces, (p, i) -> i % 2 = 1), tag -> {_TOKEN})")})""",
+    let("main", _inside("page.found.content", "page.found.low", "page.found.high"), f"""named_struct('visible', {_texts('page.found.shown')}, 'main', {_texts('main')},
+      'headings', transform({_inside('page.found.headings', 'page.found.low', 'page.found.high')}, h -> {_texts(_inside('main', 'h.a', 'h.b'))}))"""))
 
 
 def page_parts(markup) -> Column:
@@ -274,27 +253,7 @@ def page_parts(markup) -> Column:
     footers and forms, of the first main element, else of body, else of the page.  headings: h2 and h3 of that part.
     Tags are marked in one pass; texts and tags are every second piece then."""
     marked = F.regexp_replace(F.replace(as_col(markup), F.lit(MARK), F.lit("\ufffd")), TAG, f"{MARK}$0{MARK}")
-
-    def inside(spans, region):
-        return F.transform(
-            F.filter(spans, lambda x: (x["a"] <= region["b"]) & (x["b"] >= region["a"])),
-            lambda x: F.struct(F.greatest(x["a"], region["a"]).alias("a"), F.least(x["b"], region["b"]).alias("b")))
-
-    def joined(texts, spans):
-        return F.array_join(F.flatten(F.transform(spans, lambda x: F.slice(texts, x["a"] + 1, x["b"] - x["a"] + 1))), " ")
-
-    def parts(page):
-        texts, found = page["texts"], page["found"]
-        return bound(inside(found["content"], found["main"]), lambda main: F.struct(
-            joined(texts, found["shown"]).alias("visible"), joined(texts, main).alias("main"),
-            F.transform(inside(found["headings"], found["main"]), lambda h: joined(texts, inside(main, h))).alias("headings")))
-
-    def cut(pieces):
-        texts = F.filter(pieces, lambda _, i: i % 2 == 0)
-        tags = F.filter(pieces, lambda _, i: i % 2 == 1)
-        return bound(F.struct(texts.alias("texts"), _walk(_tokens(tags)).alias("found")), parts)
-
-    return F.when(as_col(markup).isNotNull(), bound(F.split(marked, MARK), cut))
+    return F.when(as_col(markup).isNotNull(), by_sql(F.split(marked, MARK), "pieces", _PARTS))
 
 
 def parts_of(html) -> Column:

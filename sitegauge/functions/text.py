@@ -13,9 +13,17 @@ def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def bound(value: Column, use) -> Column:
-    """use(value) with the value computed once per row, however often `use` mentions it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def let(name: str, value: str, body: str) -> str:
+    """SQL text: `body` with `name` standing for `value`, which is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def by_sql(c, name: str, body: str) -> Column:
+    """The SQL expression `body` of the column `c`, which goes by `name` in it.
+
+    Long expressions are made from text: the parser takes them in one call, while a Python call for
+    each of their parts would cost more than many a query."""
+    return F.get(F.call_function("transform", F.array(as_col(c)), F.expr(f"{name} -> {body}")), F.lit(0))
 
 
 def clean_text(c) -> Column:

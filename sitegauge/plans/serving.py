@@ -4,8 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitegauge import presets
-from sitegauge.functions.rules import custom_sort_order
 from sitegauge.operators.aggregates import share_of_partition
+from sitegauge.plans.tiles import tile_rows
 
 
 def filter_brand(df: DataFrame, brands=None) -> DataFrame:
@@ -62,27 +62,27 @@ def ds_news(news: DataFrame, as_of_year: int, brands=None) -> DataFrame:
 
 
 def kpi_companies(company: DataFrame) -> DataFrame:
-    return company.agg(F.count("brand").alias("companies"))
+    return tile_rows(company, "kpi_companies")
 
 
 def kpi_located(locations: DataFrame) -> DataFrame:
-    return locations.agg(F.count("brand").alias("hq_found"))
+    return tile_rows(locations, "kpi_located")
 
 
 def kpi_categories(categories: DataFrame) -> DataFrame:
-    return categories.agg(F.count_distinct("category").alias("categories"))
+    return tile_rows(categories, "kpi_categories")
 
 
 def kpi_products(categories: DataFrame) -> DataFrame:
-    return categories.agg(F.sum("product_pages").alias("product_pages"))
+    return tile_rows(categories, "kpi_products")
 
 
 def kpi_electric(products: DataFrame) -> DataFrame:
-    return products.agg(F.count("product_name").alias("electric_products"))
+    return tile_rows(products, "kpi_electric")
 
 
 def kpi_news(news: DataFrame) -> DataFrame:
-    return news.agg(F.sum("news_this_year").alias("news_this_year"))
+    return tile_rows(news, "kpi_news")
 
 
 def map_points(locations: DataFrame) -> DataFrame:
@@ -93,21 +93,17 @@ def directory_table(company: DataFrame) -> DataFrame:
     return company.select("brand", "website", "hq_location", "phone", "founded", "data_note")
 
 
-def heat_portfolio(categories: DataFrame, order=tuple(presets.CATEGORY_ORDER)) -> DataFrame:
-    summed = categories.groupBy("category", "brand").agg(F.sum("share_of_company").alias("share_of_company"))
-    return summed.select("*", custom_sort_order("category", order).alias("category_order")).orderBy(
-        "category_order", "brand")
+def heat_portfolio(categories: DataFrame) -> DataFrame:
+    return tile_rows(categories, "heat_portfolio")
 
 
 def bar_electric(products: DataFrame) -> DataFrame:
-    return products.groupBy("brand").agg(F.count("product_name").alias("electric_products")).orderBy(
-        "electric_products", "brand")
+    return tile_rows(products, "bar_electric")
 
 
-def heat_tech(tech: DataFrame, order=tuple(presets.TECH_THEMES)) -> DataFrame:
-    summed = tech.groupBy("theme", "brand").agg(F.sum("share_of_pages").alias("share_of_pages"))
-    return summed.select("*", custom_sort_order("theme", order).alias("theme_order")).orderBy("theme_order", "brand")
+def heat_tech(tech: DataFrame) -> DataFrame:
+    return tile_rows(tech, "heat_tech")
 
 
 def line_news(news: DataFrame) -> DataFrame:
-    return news.groupBy("year_start", "brand").agg(F.sum("news_pages").alias("news_pages"))
+    return tile_rows(news, "line_news")

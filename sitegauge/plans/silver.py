@@ -8,7 +8,7 @@ from sitegauge.functions import contacts as C
 from sitegauge.functions import html as H
 from sitegauge.functions import text as X
 from sitegauge.functions import urls as U
-from sitegauge.operators import evidence
+from sitegauge.operators import crawl, evidence
 from sitegauge.operators.joins import lookup_join
 
 
@@ -43,7 +43,7 @@ def extract_pages(fetched: DataFrame) -> DataFrame:
         .withColumn("_words", X.word_count("_text"))
     )
     return fields.select(
-        *[c for c in fetched.columns if c not in ("html", "content_type", "base_url")],
+        *[c for c in fetched.columns if c not in ("html", "content_type")],
         H.fetch_status("http_status", "content_type", F.coalesce(H.captcha_flag("title", "_text", "_words"), F.lit(False))).alias("fetch_status"),
         "title", H.meta_description_of("_markup").alias("meta_description"), H.h1_of("_markup").alias("h1"),
         F.coalesce(H.heading_texts("_parts.headings"), no_strings).alias("headings"),
@@ -57,6 +57,26 @@ def extract_pages(fetched: DataFrame) -> DataFrame:
     )
 
 
+def with_page_type(pages: DataFrame) -> DataFrame:
+    """Add url_key, page_type, section and category, from the address and the settings of its site, which go.
+
+    The same as in the address inventory, but row by row: no page text is shuffled to fetch them.
+    A page outside the site's scope is other; visit_order 0, where there is one, is the home page."""
+    key = U.url_key("url")
+    path = U.relative_path_of_key("url_key", "base_url")
+    rows = pages.withColumn("url_key", key).withColumn("_path", path)
+    rows = rows.withColumn("_path", F.when(U.exclude_paths("_path", F.col("exclude")), F.col("_path")))
+    rows = crawl.classify(rows, "_path")
+    home = F.col("url_key") == U.url_key("start_url")
+    if "visit_order" in pages.columns:
+        home = home | (F.col("visit_order") == 0)
+    inside = F.col("_path").isNotNull()
+    kind = F.when(home, F.lit("home")).when(inside, F.col("page_type")).otherwise(F.lit("other"))
+    return rows.withColumns({
+        "page_type": kind, "section": F.when(inside, F.col("section")), "category": F.when(inside, F.col("category"))}).drop(
+        "_path", "depth", *crawl.SITE_SETTINGS)
+
+
 def founded_year(pages: DataFrame, as_of_year: int, site: str = "serial_no") -> DataFrame:
     """Earliest founding year a site states about itself on its home and about pages."""
     home, told = F.col("page_type") == "home", F.col("page_type").isin("home", "about")

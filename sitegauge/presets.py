@@ -312,3 +312,20 @@ MIN_FOUNDED_YEAR = 1800
 NOT_PUBLISHED_LABEL = "Not published on website"
 NO_YEAR_LABEL = "-"
 EXCLUDED_CATEGORY = "Attachments"
+
+# --- fixed values: dashboard tiles -----------------------------------------------------------
+# name, dataset, dimensions, measure, function, name of the value, sort, fixed positions
+TILES = [
+    ("kpi_companies", "ds_company", (), "brand", "count", "companies"),
+    ("kpi_located", "ds_locations", (), "brand", "count", "hq_found"),
+    ("kpi_categories", "ds_categories", (), "category", "count_distinct", "categories"),
+    ("kpi_products", "ds_categories", (), "product_pages", "sum", "product_pages"),
+    ("kpi_electric", "ds_electric", (), "product_name", "count", "electric_products"),
+    ("kpi_news", "ds_news", (), "news_this_year", "sum", "news_this_year"),
+    ("heat_portfolio", "ds_categories", ("category", "brand"), "share_of_company", "sum", "share_of_company",
+     ("category_order", "brand"), (("category", tuple(CATEGORY_ORDER)),)),
+    ("bar_electric", "ds_electric", ("brand",), "product_name", "count", "electric_products", ("electric_products", "brand")),
+    ("heat_tech", "ds_tech", ("theme", "brand"), "share_of_pages", "sum", "share_of_pages",
+     ("theme_order", "brand"), (("theme", tuple(TECH_THEMES)),)),
+    ("line_news", "ds_news", ("year_start", "brand"), "news_pages", "sum", "news_pages"),
+]

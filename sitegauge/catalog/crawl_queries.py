@@ -9,6 +9,7 @@ from sitegauge.catalog.registry import register
 from sitegauge.operators import aggregates as A
 from sitegauge.operators import crawl as W
 from sitegauge.operators import ranking, streaks
+from sitegauge.operators import replay as Y
 from sitegauge.plans import silver as P
 from sitegauge.sources import robots as B
 from sitegauge.sources import sitemaps as M
@@ -223,6 +224,85 @@ def robots_skipped(spark, sf):
     return W.robots_skipped(rows, W.crawl_plan(rows))
 
 
+# --- the crawl replayed ------------------------------------------------------------------------
+
+# Sites of some forty pages per scale step; how often a page fails or comes empty differs by site.
+REPLAYED = """SELECT serial_no, base || path AS url, lower(base || path) AS url_key, path AS relative_path, page_type, depth, p_partkey % 9 <> 4 AS allowed,
+  fetch_status, http_status, word_count, CAST(NULL AS STRING) AS error
+FROM (SELECT p_partkey, CAST(p_size AS STRING) AS serial_no, 'https://s' || CAST(p_size AS STRING) || '.example.com/' AS base,
+        split_part('products/,about-us/,parts/,contact-us/,news/,models/', ',', CAST(p_partkey % 6 AS INT) + 1) || CAST(p_partkey AS STRING) AS path,
+        split_part('product,about,parts_service,other,news,product', ',', CAST(p_partkey % 6 AS INT) + 1) AS page_type, CAST(1 + p_partkey % 4 AS INT) AS depth,
+        CASE WHEN (p_partkey * 7919 + p_size) % 100 < p_size % 8 * 9 THEN 'error' ELSE 'ok' END AS fetch_status,
+        CASE WHEN (p_partkey * 7919 + p_size) % 100 < p_size % 8 * 9 THEN CAST(NULL AS INT) ELSE 200 END AS http_status,
+        CAST(CASE WHEN (p_partkey * 104729) % 100 < 98 - p_size % 5 * 20 THEN 7 ELSE 80 END AS INT) AS word_count FROM {part})
+UNION ALL SELECT DISTINCT CAST(p_size AS STRING), 'https://s' || CAST(p_size AS STRING) || '.example.com/', 'https://s' || CAST(p_size AS STRING) || '.example.com', '', 'home', 0,
+  p_size % 17 <> 5, CASE WHEN p_size % 19 = 7 THEN 'captcha' ELSE 'ok' END, CAST(200 AS INT), CAST(99 AS INT), CAST(NULL AS STRING) FROM {part}"""
+REPLAY_ROWS = S.sql(REPLAYED)
+# Pages of the sites whose start page is open and was read, in the order of the crawl.
+REPLAY_ORDER = f"""(SELECT *, row_number() OVER (PARTITION BY serial_no ORDER BY stage, place, depth, url) AS seq FROM (
+    SELECT *, CASE WHEN contact THEN 0 ELSE 1 END AS stage, CASE WHEN contact THEN row_number() OVER (PARTITION BY serial_no, contact ORDER BY CASE WHEN regexp_matches(relative_path, '{presets.CONTACT_FIRST_PATTERN}') THEN 0 ELSE 1 END, depth, url)
+      ELSE {PRIORITY} END AS place FROM (SELECT *, page_type NOT IN ('home', 'document') AND regexp_matches(relative_path, {K.quote(presets.CONTACT_PAGE_PATTERN)})
+        AND NOT regexp_matches(relative_path, {K.quote(presets.NOT_CONTACT_PATTERN)}) AS contact FROM {REPLAY_ROWS}) WHERE page_type <> 'home')
+  WHERE serial_no IN (SELECT serial_no FROM {REPLAY_ROWS} WHERE page_type = 'home' AND allowed AND fetch_status = 'ok'))"""
+
+
+def run_sql(rows: str, keys: str, bad: str) -> str:
+    """Length of the run of bad rows that ends at each row."""
+    return f"""(SELECT *, CASE WHEN {bad} THEN row_number() OVER (PARTITION BY {keys}, run ORDER BY seq) - CASE WHEN run = 0 THEN 0 ELSE 1 END ELSE 0 END AS streak
+      FROM (SELECT *, sum(CASE WHEN {bad} THEN 0 ELSE 1 END) OVER (PARTITION BY {keys} ORDER BY seq ROWS UNBOUNDED PRECEDING) AS run FROM {rows}))"""
+
+
+REPLAY_LEFT = f"""(SELECT serial_no, page_type, min(seq) AS left_at FROM {run_sql(f"(SELECT * FROM {REPLAY_ORDER} WHERE allowed AND fetch_status = 'ok')", 'serial_no, page_type', 'word_count < 20')}
+  WHERE streak >= 10 GROUP BY serial_no, page_type)"""
+REPLAY_KEPT = f"""(SELECT o.* FROM {REPLAY_ORDER} o LEFT JOIN {REPLAY_LEFT} l ON l.serial_no = o.serial_no AND l.page_type = o.page_type WHERE left_at IS NULL OR seq <= left_at)"""
+REPLAY_END = f"""(SELECT serial_no, min(seq) AS stop_at FROM {run_sql(f"(SELECT * FROM {REPLAY_KEPT} WHERE allowed)", 'serial_no', "fetch_status = 'error'")} WHERE streak >= 5 GROUP BY serial_no)"""
+REPLAY_READ = f"(SELECT k.*, stop_at FROM {REPLAY_KEPT} k LEFT JOIN {REPLAY_END} e ON e.serial_no = k.serial_no WHERE stop_at IS NULL OR seq <= stop_at)"
+LEFT_TYPES = f"""(SELECT l.serial_no, string_agg(page_type, ',' ORDER BY left_at) AS skipped_types FROM {REPLAY_LEFT} l LEFT JOIN {REPLAY_END} e ON e.serial_no = l.serial_no
+  WHERE stop_at IS NULL OR left_at <= stop_at GROUP BY l.serial_no)"""
+
+
+def replayed(spark, sf):
+    rows = S.frame(spark, sf, REPLAYED)
+    return Y.replay(rows.drop(*Y.OUTCOME), rows.select("serial_no", "url_key", *Y.OUTCOME))
+
+
+@register("crawl_replay", f"""SELECT serial_no, url, page_type, fetch_status, CAST(row_number() OVER (PARTITION BY serial_no ORDER BY seq) AS INT) AS visit_order FROM {REPLAY_READ} WHERE allowed
+  UNION ALL SELECT serial_no, url, 'home', fetch_status, 0 FROM {REPLAY_ROWS} WHERE page_type = 'home' AND allowed""")
+def crawl_replay(spark, sf):
+    """The pages a crawl visits when empty types and failures steer it."""
+    return replayed(spark, sf).visits.select("serial_no", "url", "page_type", "fetch_status", "visit_order")
+
+
+@register("crawl_replay_sites", f"""SELECT h.serial_no, e.stop_at IS NOT NULL AS stopped, coalesce(skipped, 0) AS robots_skipped, coalesce(skipped_types, '') AS skipped_types
+  FROM {REPLAY_ROWS} h LEFT JOIN {REPLAY_END} e ON e.serial_no = h.serial_no LEFT JOIN {LEFT_TYPES} t ON t.serial_no = h.serial_no
+  LEFT JOIN (SELECT serial_no, count(*) AS skipped FROM {REPLAY_READ} WHERE NOT allowed GROUP BY serial_no) r ON r.serial_no = h.serial_no WHERE h.page_type = 'home'""")
+def crawl_replay_sites(spark, sf):
+    """How the replayed crawl of each site ended."""
+    return replayed(spark, sf).sites.select("serial_no", "stopped", "robots_skipped", F.array_join("skipped_types", ",").alias("skipped_types"))
+
+
+# --- links in rounds -----------------------------------------------------------------------------
+
+# The pages of a host, numbered, as a tree: page n links to 2n and 2n + 1, the last of a level back to the first page.
+TREE = """SELECT host, 'https://' || host || '/n/' || CAST(n AS STRING) AS url, n FROM (
+  SELECT regexp_extract(url, '^https?://([^/]+)', 1) AS host, row_number() OVER (PARTITION BY regexp_extract(url, '^https?://([^/]+)', 1) ORDER BY page_id) AS n FROM {pages})"""
+TREE_SITES = """SELECT DISTINCT regexp_extract(url, '^https?://([^/]+)', 1) AS serial_no, 'https://' || regexp_extract(url, '^https?://([^/]+)', 1) || '/' AS base_url,
+  'https://' || regexp_extract(url, '^https?://([^/]+)', 1) || '/n/1' AS start_url, CAST(NULL AS STRING) AS exclude, CAST(NULL AS STRING) AS product_pattern, 1 AS category_segment FROM {pages}"""
+
+
+@register("discover_links", f"""SELECT host AS serial_no, url AS url_key, CAST(floor(log2(n)) AS INT) AS round FROM {S.sql(TREE)} WHERE n < 16
+  UNION ALL SELECT host, 'https://' || host || '/n/' || CAST(m AS VARCHAR), CAST(floor(log2(m)) AS INT)
+  FROM (SELECT host, max(n) AS top FROM {S.sql(TREE)} GROUP BY host), range(1, 16) AS r(m) WHERE m > top AND m // 2 <= top""")
+def discover_links(spark, sf):
+    """Three rounds of links from the first page of every host."""
+    tree = S.frame(spark, sf, TREE)
+    start = F.concat(F.lit("https://"), "host", F.lit("/n/"))
+    to = F.array(F.concat(start, (F.col("n") * 2).cast("string")), F.concat(start, (F.col("n") * 2 + 1).cast("string"), F.lit("/?from=x")), F.concat(start, F.lit("1")))
+    links = tree.select(F.col("host").alias("serial_no"), F.col("url").alias("page"), F.explode(to).alias("url"))
+    sites = S.frame(spark, sf, TREE_SITES)
+    return W.discover_links(sites.select("serial_no", F.col("start_url").alias("url")), links, sites, 3).select("serial_no", "url_key", "round")
+
+
 # --- sitemaps --------------------------------------------------------------------------------
 
 def sitemaps(spark, sf):
@@ -257,6 +337,63 @@ def sitemap_stats(spark, sf):
     return M.sitemap_stats(sitemaps(spark, sf))
 
 
+# Per host a first file that names two index files; these name five files of page addresses, one of them both, and the first file again.
+LEAVES = """SELECT host, leaf, url, modified FROM (SELECT regexp_extract(url, '^https?://([^/]+)', 1) AS host, CAST(page_id % 5 AS INT) AS leaf, url,
+  '2024-02-' || lpad(CAST(page_id % 28 + 1 AS STRING), 2, '0') AS modified FROM {pages})"""
+INDEX_PARTS = {"i0": [0, 1, 2], "i1": [2, 3, 4]}
+
+
+def index_files(spark, sf):
+    """(host, name, text) of the files as text, written packed and plain and read back by the reader of sitemap files."""
+    rows = S.frame(spark, sf, LEAVES)
+    here = F.concat(F.lit("https://"), "host", F.lit("/"))
+
+    def index(names):
+        parts = [F.concat(F.lit("<sitemap><loc>"), here, F.lit(f"{n}.xml</loc></sitemap>")) for n in names]
+        return F.concat(F.lit("<sitemapindex>"), *parts, F.lit("</sitemapindex>"))
+
+    entry = F.concat(F.lit("<url><loc>"), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</loc><lastmod>"), "modified", F.lit("</lastmod></url>"))
+    leaves = rows.groupBy("host", F.concat(F.lit("leaf"), F.col("leaf").cast("string")).alias("name")).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    leaves = leaves.select("host", "name", F.concat(F.lit("<urlset>"), F.array_join("entries", ""), F.lit("</urlset>")).alias("text"))
+    hosts = rows.select("host").distinct()
+    out = leaves.unionByName(hosts.select("host", F.lit("root").alias("name"), index(list(INDEX_PARTS)).alias("text")))
+    for name, parts in INDEX_PARTS.items():
+        out = out.unionByName(hosts.select("host", F.lit(name).alias("name"), index([f"leaf{p}" for p in parts] + ["root"]).alias("text")))
+    return out
+
+
+def expanded(spark, sf):
+    files = index_files(spark, sf).select(F.concat(F.lit("https://"), "host", F.lit("/"), "name", F.lit(".xml")).alias("file_url"), "text")
+    roots = files.where(F.col("file_url").endswith("/root.xml")).select(
+        F.regexp_extract("file_url", "//([^/]+)", 1).alias("site"), "file_url", F.lit(0).alias("position"))
+    return M.expand_sitemaps(roots, files)
+
+
+@register("expand_sitemaps", f"""SELECT host AS site, name, CAST(round AS INT) AS round, CASE WHEN name LIKE 'leaf%' AND (host, name) NOT IN (SELECT (host, 'leaf' || CAST(leaf AS VARCHAR)) FROM {S.sql(LEAVES)})
+    THEN 'not fetched' END AS error FROM (SELECT DISTINCT host FROM {S.sql(LEAVES)}) CROSS JOIN (VALUES ('root', 0), ('i0', 1), ('i1', 1), ('leaf0', 2), ('leaf1', 2), ('leaf2', 2), ('leaf3', 2), ('leaf4', 2)) AS v(name, round)""")
+def expand_sitemaps(spark, sf):
+    """Files that a crawl comes to from the first file of every host, over two levels of index files with a circle."""
+    return expanded(spark, sf).select("site", F.regexp_extract("file_url", "/([^/.]+)[.]xml$", 1).alias("name"), "round", "error")
+
+
+@register("expanded_sitemap_entries", f"SELECT host AS site, url, modified AS lastmod FROM {S.sql(LEAVES)}")
+def expanded_sitemap_entries(spark, sf):
+    return M.sitemap_entries(expanded(spark, sf)).select("site", "url", "lastmod")
+
+
+@register("packed_sitemaps", f"SELECT host AS site, url, modified AS lastmod FROM {S.sql(LEAVES)}")
+def packed_sitemaps(spark, sf):
+    """Entries of sitemap files that lie in a folder, some of them packed: one file per host and leaf."""
+    folder = S.shared_folder(spark)
+    leaves = index_files(spark, sf).where(F.col("name").startswith("leaf"))
+    for packed, codec in ((True, "gzip"), (False, "none")):
+        part = leaves.where((F.col("name") == "leaf1") == packed)
+        part.repartition("host", "name").write.partitionBy("host", "name").option("compression", codec).text(f"{folder}/{codec}")
+    read = M.read_sitemap_files(spark, folder).select(
+        F.regexp_extract("path", "host=([^/]+)", 1).alias("site"), F.regexp_extract("path", "name=([^/]+)", 1).alias("file_order"), "path", "text")
+    return M.sitemap_entries(read).select("site", "url", "lastmod")
+
+
 # --- robots ----------------------------------------------------------------------------------
 
 ROBOT_FILES = S.sql(S.ROBOTS)

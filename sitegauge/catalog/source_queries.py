@@ -7,6 +7,7 @@ from sitegauge import presets
 from sitegauge.catalog import checks as K
 from sitegauge.catalog import standins as S
 from sitegauge.catalog.registry import register
+from sitegauge.plans import pipeline
 from sitegauge.sources import tables as I
 
 RAW = f"SELECT serial_no, company_name, company_site_url FROM {S.sql(S.COMPANIES)}"
@@ -27,6 +28,23 @@ def read_landing_csv(spark, sf):
     return I.ingest_landing(spark, folder).drop("_source_file", "_ingested_at")
 
 
+@register("bronze_stage", RAW)
+def bronze_stage(spark, sf):
+    """The whole first stage: landing folder to the table in use, after one that an empty folder could not replace."""
+    rows = S.frame(spark, sf, S.COMPANIES).toDF(*presets.LANDING_COLUMNS)
+    folder, empty = S.shared_folder(spark), S.shared_folder(spark)
+    rows.repartition(3).write.csv(folder, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    spark.createDataFrame([], rows.schema).repartition(1).write.csv(empty, header=True)
+    name = S.scratch_table(spark, "companies")
+    database, _, table = name.partition(".")
+    pipeline.build_bronze(spark, database, folder, name=table)
+    try:
+        pipeline.build_bronze(spark, database, empty, name=table)
+    except ValueError:
+        return spark.table(name).drop("_source_file", "_ingested_at")
+    raise AssertionError("an empty folder replaced the table")
+
+
 @register("file_lineage", "SELECT s_suppkey, 'supplier.parquet' AS file_name, TRUE AS stamped FROM supplier")
 def file_lineage(spark, sf):
     rows = I.file_lineage(I.with_source_file(spark.read.parquet(f"{sf}/supplier.parquet")))

@@ -7,12 +7,11 @@ itself; where they cannot be told for certain, there are none and the pattern is
 from functools import lru_cache
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-from sitegauge.functions.text import as_col
+from sitegauge.functions.text import as_col, by_sql, let
 
 #: Shorter words are in too many texts; more words than this cost as much as the pattern.
-SHORTEST, MOST = 2, 24
+SHORTEST, MOST = 2, 48
 
 
 class _Unsure(Exception):
@@ -139,14 +138,36 @@ def needed_words(pattern: str) -> tuple:
     return tuple(sorted(w for w in words if not any(o != w and o in w for o in words))), ignore
 
 
-def matches(c, pattern: str, lowered: Column | None = None) -> Column:
-    """rlike behind a search for the words that the pattern needs; `lowered`: the text in lower case, if it is at hand."""
-    text = as_col(c)
+def _literal(text: str) -> str:
+    """SQL literal; backslashes stand for themselves wherever the quotes allow it."""
+    if "'" not in text:
+        return f"r'{text}'"
+    return f'r"{text}"' if '"' not in text else "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def condition(name: str, pattern: str) -> str:
+    """SQL text: whether the text that goes by `name` matches, the pattern being tried behind the words."""
     words, ignore = needed_words(pattern)
+    tried = f"{name} RLIKE {_literal(pattern)}"
     if not words:
-        return text.rlike(pattern)
-    place = text if not ignore else F.lower(text) if lowered is None else lowered
-    held = None
-    for word in words:
-        held = place.contains(word) if held is None else held | place.contains(word)
-    return held & text.rlike(pattern)
+        return f"({tried})"
+    place = "lowered" if ignore else name
+    held = " OR ".join(f"contains({place}, {_literal(w)})" for w in words)
+    return "(" + (let("lowered", f"lower({name})", f"({held})") if ignore else f"({held})") + f" AND {tried})"
+
+
+def matches(c, pattern: str) -> Column:
+    """rlike behind a search for the words that the pattern needs.
+
+    The words are searched inside a lambda: as plain conditions, dozens of them would make one generated method so large
+    that the virtual machine never compiles it."""
+    if not needed_words(pattern)[0]:
+        return as_col(c).rlike(pattern)
+    return by_sql(c, "t", condition("t", pattern))
+
+
+def first_match(c, patterns, values=None) -> Column:
+    """The value of the first pattern that the text matches, by default its position; null when none does."""
+    chosen = range(len(patterns)) if values is None else values
+    arms = " ".join(f"WHEN {condition('t', p)} THEN {v}" for p, v in zip(patterns, chosen, strict=True))
+    return by_sql(c, "t", f"CASE {arms} END")

@@ -5,29 +5,18 @@ from pyspark.sql import functions as F
 
 from sitegauge import presets
 from sitegauge.functions import urls
-from sitegauge.functions.prefilter import matches
+from sitegauge.functions.prefilter import first_match, matches
 from sitegauge.functions.text import as_col
 
 
-def first_match(c, patterns) -> Column:
-    """Position of the first pattern found in the text, null when none is."""
-    text, chosen = as_col(c), None
-    for i, pattern in enumerate(patterns):
-        chosen = (F if chosen is None else chosen).when(matches(text, pattern), F.lit(i))
-    return chosen
-
-
 def category_code(path, rules=tuple(presets.CATEGORY_RULES)) -> Column:
     """Small integer for the (category, segment) of the first matching rule, null without a match.
 
-    One CASE over the rules; a rule whose words are not in the path is not tried; rules with the same category share a code, so the code can be the
-    grouping key and the names are looked up after the aggregation."""
+    One CASE over the rules; a rule whose words are not in the path is not tried.  Rules with the
+    same category share a code, so the code can be the grouping key and the names are looked up
+    after the aggregation."""
     names = category_names(rules)
-    text, chosen = as_col(path), None
-    for category, segment, pattern in rules:
-        chosen = (F if chosen is None else chosen).when(
-            matches(text, pattern), F.lit(names.index((category, segment))))
-    return chosen
+    return first_match(path, [p for _, _, p in rules], [names.index((c, s)) for c, s, _ in rules])
 
 
 def category_names(rules=tuple(presets.CATEGORY_RULES)) -> list:

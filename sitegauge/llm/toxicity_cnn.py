@@ -76,12 +76,18 @@ class Convolution:
     thresholds: dict[str, float]
 
     def pooled(self, rows: list[np.ndarray]):
-        """Largest filter values of each text: texts x all filters; their places; the joined rows."""
+        """Largest filter values of each text: texts x all filters; their places; the joined rows; the places behind each text.
+
+        Texts stand one behind the other with gaps between them.  A window that begins in a gap holds no word, so its value
+        is the bias, whatever text comes next.
+        """
         lengths = np.array([len(r) + _GAP for r in rows])
         flat = np.zeros((lengths.sum() + _GAP, 2), np.int64)
         starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        gap = np.ones(lengths.sum(), bool)
         for s, r in zip(starts, rows, strict=True):
             flat[s:s + len(r)] = r
+            gap[s:s + len(r)] = False
         best, n = [], lengths.sum()
         values = []
         for w, b in zip(self.filters, self.biases, strict=True):
@@ -90,9 +96,10 @@ class Convolution:
                 through = (self.embeddings @ w[k]).astype(np.float32)
                 out += through[flat[k:k + n, 0]]
                 out += through[flat[k:k + n, 1]]
+            out[gap] = b
             values.append(out)
             best.append(np.maximum.reduceat(out, starts, axis=0))
-        return np.maximum(np.concatenate(best, 1), 0), values, flat, starts, lengths
+        return np.maximum(np.concatenate(best, 1), 0), values, flat, starts, lengths, gap
 
     def logits(self, rows: list[np.ndarray]) -> np.ndarray:
         return self.pooled(rows)[0] @ self.top + self.top_bias
@@ -177,7 +184,7 @@ def batches(order: np.ndarray, rows: list[np.ndarray]) -> Iterator[np.ndarray]:
 
 
 def _gradients(m: Convolution, rows: list[np.ndarray], y: np.ndarray) -> list:
-    pooled, values, flat, starts, lengths = m.pooled(rows)
+    pooled, values, flat, starts, lengths, gap = m.pooled(rows)
     d = (1 / (1 + np.exp(-(pooled @ m.top + m.top_bias))) - y) / len(y)
     d_pooled = d[:, None] * m.top * (pooled > 0)
     d_e, d_w, d_b = np.zeros_like(m.embeddings), [np.zeros_like(w) for w in m.filters], []
@@ -190,6 +197,7 @@ def _gradients(m: Convolution, rows: list[np.ndarray], y: np.ndarray) -> list:
         d_b.append(g.sum(0))
         for k in range(len(m.filters[j])):
             for ids in (flat[at + k, 0], flat[at + k, 1]):
+                ids = np.where(gap[at], 0, ids)
                 d_w[j][k] += np.einsum("nfs,nf->sf", m.embeddings[ids], g)
                 np.add.at(d_e, ids, g[:, :, None] * m.filters[j][k].T[None])
     return [d_e, *d_w, *d_b, pooled.T @ d + 1e-4 * m.top, float(d.sum())]
@@ -231,11 +239,17 @@ def score_toxicity(documents: DataFrame, model: Convolution, threshold: float =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = Rows(model.known)
         for batch in batches:
-            rows = [get.of(t.as_py()) for t in batch.column(2)]
-            limits = [model.thresholds.get(x, threshold) for x in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(model.score(rows), pa.float64()), pa.array(limits, pa.float64())],
-                names=["doc_id", "held_out", "score", "lang_threshold"])
+            start, words, rows = 0, 0, []
+            for k, t in enumerate(batch.column(2)):
+                rows.append(get.of(t.as_py()))
+                words += len(rows[-1])
+                if words > POSITIONS or k == batch.num_rows - 1:
+                    part = batch.slice(start, len(rows))
+                    limits = [model.thresholds.get(x, threshold) for x in part.column(3).to_pylist()]
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), part.column(1), pa.array(model.score(rows), pa.float64()), pa.array(limits, pa.float64())],
+                        names=["doc_id", "held_out", "score", "lang_threshold"])
+                    start, words, rows = k + 1, 0, []
 
     narrow = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), (fold(F.col("doc_id"), modulus) == out).alias("held_out"), whole_text().alias("text"),

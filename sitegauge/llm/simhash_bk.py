@@ -226,15 +226,6 @@ def near_duplicates(documents: DataFrame, shard_size: int = SHARD) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(documents: DataFrame, shard_size: int = SHARD) -> DataFrame:
-    """One row of each class of near duplicates, with the columns of `documents`: that with the smallest id.
-
-    Rows without an id stay only where their class has none with an id.  Of repeated rows one stays.
-    """
-    prints = staged(fingerprints(documents), "prints")
-    return stay_first(documents, prints.join(classes(prints, shard_size).select("fp", "root"), "fp"))
-
-
 def stay_first(documents: DataFrame, placed: DataFrame) -> DataFrame:
     """The row of `documents` with the smallest id of each root; `placed`: doc_id, text_hash, root of every row."""
     best = placed.groupBy("root").agg(

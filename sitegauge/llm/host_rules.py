@@ -118,15 +118,17 @@ def judge(documents: DataFrame, host: str = "source") -> DataFrame:
 
 
 def keep_good(documents: DataFrame, host: str = "source") -> DataFrame:
-    """The rows that `judge` keeps, with the columns of `documents`; measured once, written to the shared folder between."""
-    fails = failures()
-    marked = measured(documents).withColumns({f"{OWN}{k}": F.coalesce(v, F.lit(False)) for k, v in fails.items()})
-    own_host = F.col(host).cast("string")
-    facts = staged(marked.select(own_host.alias("host"), *(F.col(f"{OWN}{r}").alias(r) for r in RULES)), "host-facts")
-    bad = rejected_hosts(facts, "host")
-    # the row number keeps the optimizer from moving the filter, and with it all measures once more, below the measuring
-    marked = marked.withColumn(f"{OWN}row", F.monotonically_increasing_id())
-    good = marked.where((F.col(f"{OWN}row") >= 0) & ~(F.col(f"{OWN}short") | F.col(f"{OWN}repeated") | F.col(f"{OWN}symbols") | F.col(f"{OWN}dup_lines")))
+    """The rows that `judge` keeps, with the columns of `documents`.
+
+    Rows are measured once and written with their four flags to the shared folder; the verdicts on hosts and the rows
+    themselves are read from there.  Null and empty texts have no words and go; repeated rows are each judged, each count
+    for their host and all stay if they pass; rows without a host only stand for themselves; an empty table gives no rows.
+    """
+    flags = [F.coalesce(v, F.lit(False)).alias(f"{OWN}{k}") for k, v in failures().items()]
+    marked = staged(measured(documents).select(*named(documents), *flags), "host-rows")
+    own_host = F.col(f"`{host}`").cast("string")
+    bad = rejected_hosts(marked.select(own_host.alias("host"), *(F.col(f"{OWN}{r}").alias(r) for r in RULES)), "host")
+    good = marked.where(~(F.col(f"{OWN}short") | F.col(f"{OWN}repeated") | F.col(f"{OWN}symbols") | F.col(f"{OWN}dup_lines")))
     return good.join(bad, own_host == F.col(f"{OWN}rejected_host"), "left_anti").select(*named(documents))
 
 

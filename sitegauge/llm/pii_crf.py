@@ -441,7 +441,9 @@ def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
 def redact_documents(documents: DataFrame, tagger: Tagger | None = None) -> DataFrame:
     """The same rows and columns with personal data in `text` replaced by [EMAIL], [IP], [CARD] or [PHONE].
 
-    Null texts stay null.  An integer column n_chars, where there is one, gets the new length; it stays null if null.
+    Null texts stay null, empty ones empty.  An integer column n_chars, where there is one, gets the new length; it stays
+    null if null.  Repeated rows are each returned, with the same new text; spans that overlap are replaced as one, by the
+    kind of the first; an empty table gives no rows; other columns stay as they are.
     """
     tagger = tagger or train(documents)
     place = documents.columns.index("text")

@@ -10,12 +10,14 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sitegauge.llm.common import staged, whole_text
 from sitegauge.llm.tokens import byte_counts, tokenizer_path
 
+#: Session setting that names the cache's folder for the registered query.
+FOLDER = "spark.sitegauge.tokenCache"
 CACHE = "digest binary, version string, n_tokens bigint"
 
 
@@ -53,13 +55,10 @@ def count_tokens(
     keyed = texts.withColumn("digest", F.unhex(F.sha2("text", 256)))
     stored = read_cache(spark, cache_path, version)
 
-    # one row stands for each missing digest; only ids and digests are grouped
-    missing = (
-        keyed.select("digest", "doc_id").join(stored.select("digest"), "digest", "left_anti")
-        .groupBy(F.col("digest").alias("missing")).agg(F.min("doc_id").alias("first_id")))
-    to_encode = keyed.join(
-        missing.hint("shuffle_hash"),
-        (F.col("digest") == F.col("missing")) & F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
+    # every task keeps one row of each digest before texts are shuffled, so that a text with many copies is sent a few times only
+    one = Window.partitionBy("digest").orderBy("doc_id")
+    firsts = keyed.withColumn("place", F.row_number().over(one)).where("place = 1").drop("place")
+    to_encode = firsts.join(stored.select("digest"), "digest", "left_anti")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = byte_counts(tokenizer, ranks)

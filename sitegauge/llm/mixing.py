@@ -66,10 +66,30 @@ def find_exponent(sources: DataFrame, entropy: float = ENTROPY, repetition: floa
     return max(exponent, min(max(int(needed), 0), whole))
 
 
-def quotas(sources: DataFrame, exponent: int, budget: int | None = None) -> DataFrame:
+def level(shares: DataFrame, budget: float, rounds: int = 4) -> float:
+    """The budget for which min(weight * level, most) sums up to `budget`, as far as all `most` together allow.
+
+    Found by sections: each round sums over all sources in one aggregation.
+    """
+    total = shares.agg(F.sum("most").alias("most"), F.max(F.col("most") / F.col("weight")).alias("top")).first()
+    if total["most"] <= budget:
+        return float(total["top"])
+    low, step = 0.0, float(total["top"]) / SECTION
+    for _ in range(rounds):
+        grid = shares.select("weight", "most", F.explode(F.sequence(F.lit(0), F.lit(SECTION))).alias("k"))
+        at = F.lit(low) + F.col("k") * F.lit(step)
+        sums = grid.groupBy("k").agg(F.sum(F.least(F.col("weight") * at, F.col("most"))).alias("given"))
+        low += step * (sums.where(F.col("given") <= budget).agg(F.max("k").alias("k")).first()["k"] or 0)
+        step /= SECTION
+    return low
+
+
+def quotas(sources: DataFrame, exponent: int, budget: int | None = None, repetition: float = REPETITION) -> DataFrame:
     """s, docs, tokens, weight and the tokens that each source may give.
 
-    Without a budget it is the smallest that leaves out no document: the largest source is passed once.
+    Without a budget it is the smallest that leaves out no document: the largest source is passed once.  With a budget no
+    source gives more than `repetition` times its tokens; what it cannot give goes to the others by their weights, and
+    a budget beyond what all may give is not spent in full.
     """
     power = exponent / (SECTION * SECTION)
     total = sources.agg(F.sum("tokens").alias("t"), F.max("tokens").alias("high")).first()
@@ -82,7 +102,9 @@ def quotas(sources: DataFrame, exponent: int, budget: int | None = None) -> Data
         passes = F.pow(F.lit(float(total["high"])) / F.col("tokens"), F.lit(1 - power))
         quota = F.greatest(F.floor(F.col("tokens") * passes + 1e-6).cast("long"), F.col("tokens"))
     else:
-        quota = F.floor(weight * F.lit(float(budget)) + 1e-6).cast("long")
+        most = F.col("tokens") * F.lit(float(repetition))
+        spread = level(sources.select(weight.alias("weight"), most.alias("most")), float(budget))
+        quota = F.floor(F.least(weight * F.lit(spread), most) + 1e-6).cast("long")
     return sources.select("s", "docs", "tokens", weight.alias("weight"), quota.alias("quota"))
 
 
@@ -100,10 +122,11 @@ def mix(
     own = lambda name: f"{OWN}{name}"
     c = lambda name: F.col(own(name))
     sources = staged(source_tokens(documents, source), "mix-sources")
-    plan = quotas(sources, find_exponent(sources, entropy, repetition), budget).select(
+    plan = quotas(sources, find_exponent(sources, entropy, repetition), budget, repetition).select(
         *(F.col(x).alias(own(x)) for x in ("s", "docs", "tokens", "weight", "quota")))
 
-    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    # the text is part of the key: rows without an id, or with equal ids, are dealt to different blocks
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(whole_text().cast("binary"))).cast("binary"))
     rows = documents.withColumns({
         own("s"): F.coalesce(F.col(source).cast("string"), F.lit(NO_SOURCE)), own("key"): key, own("n"): tokens_of(whole_text())})
     rows = rows.join(plan, own("s"))
@@ -136,12 +159,16 @@ def _window(part: list[str], *order: str):
 
 
 def mixed_documents(documents: DataFrame) -> DataFrame:
-    """The mixture with the columns of `documents`."""
+    """The mixture with the columns of `documents`: each row once for each pass in which it is taken.
+
+    Null and empty texts count one token and are taken like any other; rows without a source form a source; repeated
+    rows are rows of their own; ties in the order are broken as in `mix`; an empty table gives no rows.
+    """
     return mix(documents).select(*named(documents))
 
 
 ORACLE = f"""
-WITH d AS (SELECT doc_id, coalesce(source, chr(0)) AS s, source, md5('{SEED}|' || coalesce(doc_id::VARCHAR, '')) AS key,
+WITH d AS (SELECT doc_id, coalesce(source, chr(0)) AS s, source, md5('{SEED}|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))) AS key,
     len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT + 1 AS n FROM documents),
 t AS (SELECT s, count(*) AS docs, sum(n)::BIGINT AS tokens FROM d GROUP BY s),
 u AS (SELECT *, tokens / sum(tokens) OVER () AS p, count(*) OVER () AS sources, min(tokens) OVER () AS low, max(tokens) OVER () AS high FROM t),

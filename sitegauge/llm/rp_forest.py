@@ -100,8 +100,15 @@ def fit(sample: np.ndarray, total: int, trees: int = TREES, leaf: int = LEAF, co
 
 
 def unit(vectors: list) -> np.ndarray:
+    """Vectors of length 1; where the squares of the components leave the range of doubles, these are scaled first."""
     x = np.array(vectors, dtype=np.float64)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+    with np.errstate(over="ignore", under="ignore"):
+        norm = np.linalg.norm(x, axis=1, keepdims=True)
+    odd = ~((norm > 1e-140) & np.isfinite(norm))[:, 0]
+    if odd.any():
+        x[odd] /= np.abs(x[odd]).max(axis=1, keepdims=True)
+        norm[odd] = np.linalg.norm(x[odd], axis=1, keepdims=True)
+    return x / norm
 
 
 def usable(embedding, label):
@@ -210,24 +217,23 @@ def near_vectors(
                 forest = fitted.get(n) or Trees(0, np.zeros((1, 0)), np.zeros((1, 0)))
                 x = unit(list(part["embedding"]))
                 row, place = forest.leaves(x)
-                place = place + (int(n) << 50)
                 order = np.lexsort((place, row))
                 row, place = row[order], place[order]
                 cut = np.searchsorted(row, np.arange(len(part) + 1))
                 lists = [place[a:b].astype("<i8").tobytes() for a, b in zip(cut, cut[1:], strict=False)]
                 raw = [v.astype("<f8").tobytes() for v in x]
                 rep, size, label = part["rep"].to_numpy(), part["size"].to_numpy(), part["label"].to_numpy()
-                yield pd.DataFrame({"leaf": place, "rep": rep[row], "size": size[row], "label": label[row],
+                yield pd.DataFrame({"dim": np.int32(n), "leaf": place, "rep": rep[row], "size": size[row], "label": label[row],
                                     "vector": [raw[k] for k in row], "leaves": [lists[k] for k in row]})
 
-    dealt = classes.select("rep", "size", "label", "embedding").mapInPandas(deal, "leaf long, rep long, size long, label long, vector binary, leaves binary")
+    dealt = classes.select("rep", "size", "label", "embedding").mapInPandas(deal, "dim int, leaf long, rep long, size long, label long, vector binary, leaves binary")
     dealt = staged(dealt, "leaves")
     # leaves larger than a block: every pair of their blocks is a group of its own
-    blocks = dealt.groupBy("leaf").agg(F.ceil(F.count("*") / block).alias("blocks"))
-    spread = dealt.join(blocks, "leaf").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    blocks = dealt.groupBy("dim", "leaf").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    spread = dealt.join(blocks, ["dim", "leaf"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda b: F.struct(F.least(b, F.col("block")).alias("low"), F.greatest(b, F.col("block")).alias("high")))
-    groups = spread.withColumn("pair", F.explode(pairs)).select("leaf", "rep", "size", "label", "vector", "leaves", "block", "pair.low", "pair.high")
-    links = staged(groups.groupBy("leaf", "low", "high").applyInPandas(leaf_links(cosine), "rep long, partners long, to long"), "vector-links")
+    groups = spread.withColumn("pair", F.explode(pairs)).select("dim", "leaf", "rep", "size", "label", "vector", "leaves", "block", "pair.low", "pair.high")
+    links = staged(groups.groupBy("dim", "leaf", "low", "high").applyInPandas(leaf_links(cosine), "rep long, partners long, to long"), "vector-links")
 
     counts = links.groupBy("rep").agg(F.sum("partners").alias("partners"))
     roots = connected(links.select(F.col("rep").alias("a"), F.col("to").alias("b")))

@@ -80,10 +80,13 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, modulus
     """doc_id, text, the columns `more` and the label of at most `rows` labelled documents outside the held-out fold `out`.
 
     The bound makes broadcasting the chosen ids safe: `rows` ids and labels, whatever the corpus size.
-    Repeated label rows of one id count once, with their largest label; repeated document rows stay.
+    Repeated label rows of one id count once, with their largest label; of document rows with one id the first by the
+    hash of the text counts, so that the bound holds for the rows as well.
     """
     chosen = sampled(
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
         .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (fold(F.col("doc_id"), modulus) != out))
         .groupBy("doc_id").agg(F.max("label").alias("label")), rows, "doc_id")
-    return documents.select("doc_id", whole_text().alias("text"), *more).join(F.broadcast(chosen), "doc_id")
+    found = documents.select("doc_id", whole_text().alias("text"), *more).join(F.broadcast(chosen), "doc_id")
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    return found.withColumn(f"{OWN}place", F.row_number().over(one)).where(F.col(f"{OWN}place") == 1).drop(f"{OWN}place")

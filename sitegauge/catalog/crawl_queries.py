@@ -103,30 +103,51 @@ DAY_FACTS = f"""(SELECT s.*, coalesce(attempted, 0) AS pages_attempted, coalesce
         FROM (SELECT *, fetch_status IN ('blocked', 'captcha', 'error') OR http_status >= 500 AS bad FROM {DAY_SQL} WHERE visit_order > 0))) GROUP BY serial_no) f ON f.serial_no = s.serial_no)"""
 
 
+# What the other inputs of the status say: addresses, sitemap files and pages closed by robots rules of each site.
+DAY_FOUND = "SELECT DISTINCT CAST(user_id AS STRING) || '/' || CAST(month(ts) AS STRING) || '-' || CAST(day(ts) AS STRING) AS serial_no, value FROM {events}"
+DAY_MAPS = """SELECT serial_no, CAST(count(*) FILTER (WHERE value < 50) AS BIGINT) AS sitemap_files_read, CAST(count(*) FILTER (WHERE value >= 50) AS BIGINT) AS sitemap_errors
+  FROM (""" + DAY_FOUND + """) WHERE value < 60 GROUP BY serial_no"""
+DAY_SKIPPED = "SELECT serial_no, count(*) AS robots_skipped FROM (" + DAY_FOUND + ") WHERE value > 90 GROUP BY serial_no"
+
+
 def day_status(spark, sf):
-    return W.scrape_status(S.frame(spark, sf, DAY_SITES), S.frame(spark, sf, DAY_LOG),
-                           policy=B.robots_policy(S.frame(spark, sf, DAY_ROBOTS), AGENT))
+    return W.scrape_status(
+        S.frame(spark, sf, DAY_SITES), S.frame(spark, sf, DAY_LOG), S.frame(spark, sf, DAY_FOUND), B.robots_policy(S.frame(spark, sf, DAY_ROBOTS), AGENT),
+        S.frame(spark, sf, DAY_MAPS), S.frame(spark, sf, DAY_SKIPPED))
 
 
 STATUS_CASE = """CASE WHEN denied THEN 'blocked' WHEN start_status IN ('blocked', 'captcha') THEN start_status WHEN longest >= 5 THEN 'partial'
   WHEN pages_ok = 0 THEN 'error' WHEN mid < 50 THEN 'js_rendered' WHEN pages_failed > 0.2 * pages_attempted THEN 'partial' ELSE 'ok' END"""
 
 
-@register("site_status", f"""SELECT serial_no, {STATUS_CASE} AS status, CASE WHEN denied THEN 'robots.txt (HTTP ' || CAST(robots AS VARCHAR) || ') does not allow ' || start_url
+# Types that ran empty, in the order in which they did.
+DAY_EMPTY = f"""(SELECT serial_no, string_agg('skipped remaining ' || page_type || ' pages after 10 empty ones', '; ' ORDER BY reached, page_type) AS notes FROM (
+    SELECT serial_no, page_type, min(visit_order) AS reached FROM (SELECT *, CASE WHEN word_count < 20 THEN row_number() OVER (PARTITION BY serial_no, page_type, run ORDER BY visit_order) - CASE WHEN run = 0 THEN 0 ELSE 1 END ELSE 0 END AS streak
+      FROM (SELECT *, sum(CASE WHEN word_count < 20 THEN 0 ELSE 1 END) OVER (PARTITION BY serial_no, page_type ORDER BY visit_order ROWS UNBOUNDED PRECEDING) AS run
+        FROM {DAY_SQL} WHERE visit_order > 0 AND fetch_status = 'ok')) WHERE streak >= 10 GROUP BY serial_no, page_type) GROUP BY serial_no)"""
+MESSAGE = """CASE WHEN denied THEN 'robots.txt (HTTP ' || CAST(robots AS VARCHAR) || ') does not allow ' || start_url
     WHEN start_status IN ('blocked', 'captcha') THEN 'start page returned ' || start_status || ' (HTTP ' || CAST(start_http AS VARCHAR) || ')'
     WHEN longest >= 5 THEN 'stopped after 5 failed pages in a row'
     WHEN pages_ok = 0 THEN 'no page could be scraped; start page: ' || start_status || ' (HTTP ' || CAST(start_http AS VARCHAR) || ')'
-    WHEN mid < 50 THEN 'pages have little text; content is likely loaded by JavaScript'
-    WHEN pages_failed > 0.2 * pages_attempted THEN 'more than 20% of pages failed' END AS message FROM {DAY_FACTS}""")
+    WHEN mid < 50 THEN concat_ws('; ', 'pages have little text; content is likely loaded by JavaScript', notes)
+    WHEN pages_failed > 0.2 * pages_attempted THEN concat_ws('; ', 'more than 20% of pages failed', notes) ELSE notes END"""
+DAY_TOLD = f"(SELECT f.*, notes FROM {DAY_FACTS} f LEFT JOIN {DAY_EMPTY} n ON n.serial_no = f.serial_no)"
+
+
+@register("site_status", f"SELECT serial_no, {STATUS_CASE} AS status, {MESSAGE} AS message FROM {DAY_TOLD}")
 def site_status(spark, sf):
     return day_status(spark, sf).select("serial_no", "status", "message")
 
 
-@register("scrape_status", f"""SELECT serial_no, company_name, base_url, {STATUS_CASE} AS status, CAST(robots AS INT) AS robots_http_status,
+@register("scrape_status", f"""SELECT t.serial_no, company_name, base_url, {STATUS_CASE} AS status, {MESSAGE} AS message, CAST(robots AS INT) AS robots_http_status,
+  CAST(coalesce(sitemap_files_read, 0) AS INT) AS sitemap_files_read, CAST(coalesce(sitemap_errors, 0) AS INT) AS sitemap_errors,
+  CAST(coalesce(urls_found, 0) AS INT) AS urls_found, CAST(coalesce(robots_skipped, 0) AS INT) AS robots_skipped,
   CAST(pages_attempted AS INT) AS pages_attempted, CAST(pages_ok AS INT) AS pages_ok, CAST(pages_failed AS INT) AS pages_failed,
-  CAST(trunc(mid) AS INT) AS median_word_count, started_at, finished_at, seconds AS duration_seconds FROM {DAY_FACTS}""")
+  CAST(trunc(mid) AS INT) AS median_word_count, started_at, finished_at, seconds AS duration_seconds
+  FROM {DAY_TOLD} t LEFT JOIN {S.sql(DAY_MAPS)} m ON m.serial_no = t.serial_no LEFT JOIN {S.sql(DAY_SKIPPED)} k ON k.serial_no = t.serial_no
+  LEFT JOIN (SELECT serial_no, count(*) AS urls_found FROM {S.sql(DAY_FOUND)} GROUP BY serial_no) u ON u.serial_no = t.serial_no""")
 def scrape_status(spark, sf):
-    return day_status(spark, sf).drop("message", "sitemap_files_read", "sitemap_errors", "urls_found", "robots_skipped")
+    return day_status(spark, sf)
 
 
 # --- inventory -------------------------------------------------------------------------------
@@ -408,10 +429,12 @@ def robots_rules(spark, sf):
 
 
 @register("robots_policy", f"""SELECT host, CAST(http_status AS INT) AS robots_http_status, CASE http_status WHEN 403 THEN 'deny_all' WHEN 404 THEN 'allow_all' ELSE 'rules' END AS verdict,
-  CASE WHEN http_status = 200 AND has_de = 0 THEN CAST(10 AS INT) END AS crawl_delay, CASE WHEN http_status = 200 THEN 'https://' || host || '/map.xml' END AS sitemaps FROM {ROBOT_FILES}""")
+  CASE WHEN http_status = 200 AND has_de = 0 THEN CAST(10 AS INT) END AS crawl_delay, CASE WHEN http_status = 200 THEN 'https://' || host || '/map.xml' END AS sitemaps,
+  CASE WHEN http_status <> 200 THEN NULL WHEN has_de = 1 THEN '- /en/' ELSE '+ /fr/1' || CASE WHEN has_fr = 1 THEN ',- /fr/' ELSE '' END || ',- /es/' END AS rules FROM {ROBOT_FILES}""")
 def robots_policy(spark, sf):
     return B.robots_policy(S.frame(spark, sf, S.ROBOTS), AGENT).select(
-        "host", F.col("robots_http_status").cast("int"), "verdict", "crawl_delay", F.array_join("sitemaps", ",").alias("sitemaps"))
+        "host", F.col("robots_http_status").cast("int"), "verdict", "crawl_delay", F.array_join("sitemaps", ",").alias("sitemaps"),
+        F.array_join(F.transform("rules", lambda r: F.concat(F.when(r["allow"], F.lit("+ ")).otherwise(F.lit("- ")), r["prefix"])), ",").alias("rules"))
 
 
 @register("robots_allow", f"""SELECT page_id, CASE WHEN http_status = 403 THEN FALSE WHEN http_status = 404 THEN TRUE WHEN has_de = 1 THEN url NOT LIKE '%//%/en/%'

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from sitegauge.operators.joins import lookup_join
 from sitegauge.operators.ranking import first_per_group
+from sitegauge.sources.staging import staged
 
 
 def explode_contacts(pages: DataFrame, contacts: str, site: str = "serial_no", url: str = "url") -> DataFrame:
@@ -21,16 +22,16 @@ def pick_best_evidence(candidates: DataFrame, score: Column, site: str = "serial
     """Per site the value with the highest score, then the most pages, then the smallest value.
 
     Its evidence is the candidate with the highest score, then the smallest address and context.
-    Both steps are aggregations or row_number() = 1, so hot sites and much repeated values are
-    reduced before they are shuffled."""
-    scored = candidates.withColumn("_s", score).where(F.col("_s").isNotNull())
-    best = F.struct((-F.col("_s.score")).alias("minus_score"), F.col("url"), F.col("context"),
-                    F.col("_s.match").alias("match"))
-    values = scored.groupBy(site, "value").agg(F.min(best).alias("_b"), F.count_distinct("url").alias("pages"))
-    ranked = values.select(site, "value", (-F.col("_b.minus_score")).alias("score"), "pages",
-                           F.col("_b.match").alias("match"), F.col("_b.url").alias("url"),
-                           F.col("_b.context").alias("context"))
-    return first_per_group(ranked, [site], [F.desc("score"), F.desc("pages"), "value"])
+    The scored candidates are written once.  Values are chosen on their keys alone, by hash
+    aggregations; contexts are only looked at for the chosen ones, and every map task keeps one."""
+    scored = candidates.withColumn("_s", score).where(F.col("_s").isNotNull()).select(
+        site, "value", "url", "context", F.col("_s.score").alias("score"), F.col("_s.match").alias("match"))
+    scored = staged(scored, "evidence")
+    values = scored.groupBy(site, "value").agg(F.max("score").alias("score"), F.count_distinct("url").alias("pages"))
+    chosen = first_per_group(values, [site], [F.desc("score"), F.desc("pages"), "value"])
+    keys = [site, "value", "score"]
+    own = lookup_join(scored.where(F.col("value").isNotNull()), chosen, keys, "inner", spread=["url"])
+    return first_per_group(own, [site], ["url", "context", "match"]).select(site, "value", "score", "pages", "match", "url", "context")
 
 
 def earliest_founding(pages: DataFrame, years: Column, as_of_year: int, min_year: int,

@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,8 @@ from sitegauge.llm.common import staged, whole_text
 BUCKETS, LEAST_WORDS, PERCENT, SEED = 10_000, 20, 25, 7
 #: What separates words; all characters beyond ASCII belong to words.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Bytes of a text that are split at once; a longer text is cut where words are.  Bytes of buckets in a batch of rows.
-PART, BATCH = 1_000_000, 16_000_000
+#: Bytes of a text that are split at once; a longer text is cut between words.  Bytes of buckets in a batch of rows.
+PART, BATCH = 16_000, 16_000_000
 _GAP_BYTE = re.compile(GAP[:-1].encode())
 
 
@@ -32,35 +33,35 @@ class Features:
     """The buckets of texts."""
 
     def __init__(self, buckets: int):
-        from tokenizers import Regex, pre_tokenizers
+        from tokenizers import PreTokenizedString, Regex, pre_tokenizers
 
-        self.split = pre_tokenizers.Split(Regex(GAP), "removed")
+        self.string = PreTokenizedString
+        self.split = pre_tokenizers.Split(Regex(GAP.replace("[", "[^", 1)), "removed", invert=True)
         self.buckets = buckets
 
-    def words(self, raw: bytes) -> Iterator[tuple[int, int]]:
-        """Byte offsets of the words of a lower-case text, part by part: a part ends where no word goes on."""
+    def words(self, raw: bytes) -> Iterator[list[bytes]]:
+        """The words of a lower-case text by the byte offsets of the split, part by part: a part ends where no word goes on."""
         at = 0
         while at < len(raw):
             gap = _GAP_BYTE.search(raw, at + PART)  # ASCII: no character is cut
-            end = gap.start() if gap else len(raw)
-            part = raw[at:end]
-            text = part.decode("utf-8")
-            found = [o for _, o in self.split.pre_tokenize_str(text)]
-            if found and len(text) < len(part):
-                first = np.flatnonzero((np.frombuffer(part, np.uint8) & 0xC0) != 0x80)  # first byte of each character
-                found = np.append(first, len(part))[np.array(found)].tolist()
-            for a, b in found:
-                yield at + a, at + b
-            at = end
+            part = raw[at:gap.start() if gap else len(raw)]
+            at += len(part)
+            found = self.string(part.decode("utf-8"))
+            self.split.pre_tokenize(found)
+            yield [part[a:b] for _, (a, b), _ in found.get_splits(offset_referential="original", offset_type="byte")]
 
     def of(self, text: str) -> np.ndarray:
-        """One bucket per word, then one per pair of neighbours; repeats stay."""
+        """One bucket per word and one per pair of neighbours; repeats stay.  A long text is held part by part."""
         raw = text.encode("utf-8").lower()  # lower() of bytes changes A to Z only
-        places = list(self.words(raw))
-        ones = [zlib.crc32(raw[a:b]) for a, b in places]
-        gap = [zlib.crc32(b" ", c) for c in ones[:-1]]
-        pairs = [zlib.crc32(raw[a:b], c) for (a, b), c in zip(places[1:], gap, strict=True)]
-        return (np.array(ones + pairs, np.int64) % self.buckets).astype("<u2")
+        found, last = [np.zeros(0, "<u2")], []
+        for words in self.words(raw):
+            ones = list(map(zlib.crc32, words))
+            # the CRC of a pair goes on from that of its first word, the last one of the part before included
+            before = [*last, *ones[:-1]]
+            pairs = map(zlib.crc32, words[len(words) - len(before):], map(zlib.crc32, repeat(b" "), before))
+            found.append((np.array([*ones, *pairs], np.int64) % self.buckets).astype("<u2"))
+            last = ones[-1:] or last
+        return np.concatenate(found)
 
 
 def featured(rows: DataFrame, text: str, *more: str, buckets: int = BUCKETS) -> DataFrame:

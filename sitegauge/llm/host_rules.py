@@ -128,6 +128,7 @@ def keep_good(documents: DataFrame, host: str = "source") -> DataFrame:
     marked = staged(measured(documents).select(*named(documents), *flags), "host-rows")
     own_host = F.col(f"`{host}`").cast("string")
     bad = rejected_hosts(marked.select(own_host.alias("host"), *(F.col(f"{OWN}{r}").alias(r) for r in RULES)), "host")
+    bad = staged(bad, "host-rejected")  # its size is known then: texts are not shuffled by host where it is small
     good = marked.where(~(F.col(f"{OWN}short") | F.col(f"{OWN}repeated") | F.col(f"{OWN}symbols") | F.col(f"{OWN}dup_lines")))
     return good.join(bad, own_host == F.col(f"{OWN}rejected_host"), "left_anti").select(*named(documents))
 

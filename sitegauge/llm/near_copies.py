@@ -1,9 +1,12 @@
 """Near copies by the exact Jaccard similarity of their word shingles.
 
-Pairs that may be similar meet in a band of MinHash values: a pair at the least similarity 0.8 is missed with a chance of
-(1 - 0.8**4)**20 = 0.00003.  Every pair is then decided on the shingles themselves.  First each document of a band is
-compared with the band's smallest one; what these links join is not compared again.  In bands that still hold several
-components all pairs of different components are compared, block by block.
+Pairs that may be similar are found by their SimHash fingerprints, which BK-trees link at three or fewer differing bits
+(see simhash_bk); each class that the trees find is a group.  A pair at similarity 0.8 may differ in more bits than trees
+can search.  For what the trees leave apart, documents that agree in a band of MinHash values are further groups: a pair
+at the least similarity is missed with a chance of (1 - 0.8**4)**20 = 0.00003.  Every pair is decided on the shingles
+themselves.  First each document of a group is compared with the group's smallest one; what links have joined is not
+compared again.  In groups that still hold several components all pairs of different components are compared, block by
+block.
 """
 
 from __future__ import annotations
@@ -18,10 +21,12 @@ from pyspark.sql import functions as F
 
 from sitegauge.llm.common import staged, whole_text
 from sitegauge.llm.components import connected
-from sitegauge.llm.simhash_bk import row_hash, shingle_hashes, spanning, stay_first
+from sitegauge.llm.simhash_bk import fingerprint_of, near_links, row_hash, shingle_hashes, stay_first
 
 SHINGLE, SIMILARITY, BANDS, BAND_ROWS = 5, 0.8, 20, 4
-#: Documents of a band that are compared in one task.
+#: Differing bits at which the trees link fingerprints: shards agree in one of four blocks of 16 bits.
+RADIUS = 3
+#: Documents of a group that are compared in one task.
 BLOCK = 1_000
 _RNG = np.random.default_rng(11)
 _ADD, _TIMES = (_RNG.integers(0, 2**64, size=BANDS * BAND_ROWS, dtype=np.uint64) for _ in range(2))
@@ -49,7 +54,7 @@ def band_keys(hashes: np.ndarray) -> list[int]:
 
 
 def _sets(documents: DataFrame, shingle: int, *more: str) -> DataFrame:
-    """`more`, node (the set's hash) and the set of every row."""
+    """Of every row node (the set's hash) and the set; or `more`, node, the set's fingerprint and band keys."""
     from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,11 +65,16 @@ def _sets(documents: DataFrame, shingle: int, *more: str) -> DataFrame:
                 part = batch.slice(low, 500)
                 raw = [shingle_set(t.as_py(), shingle).tobytes() for t in part.column(0)]
                 nodes = np.array([xxh64_intdigest(r) for r in raw], np.uint64).view(np.int64)
-                keys = pa.array([band_keys(np.frombuffer(r, "<u8")) for r in raw], pa.list_(pa.int64())) if more else pa.array(raw, pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(nodes), keys], names=[*more, "node", "keys" if more else "shingles"])
+                if more:
+                    found = [np.frombuffer(r, "<u8") for r in raw]
+                    fps = np.array([fingerprint_of(f) for f in found], np.uint64).view(np.int64)
+                    keys = pa.array([band_keys(f) for f in found], pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(nodes), pa.array(fps), keys], names=[*more, "node", "fp", "keys"])
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(raw, pa.binary())], names=["node", "shingles"])
 
     fields = ", ".join(f"{c} bigint" for c in more)
-    schema = f"{fields}, node bigint, keys array<bigint>" if more else StructType([StructField("node", LongType()), StructField("shingles", BinaryType())])
+    schema = f"{fields}, node bigint, fp bigint, keys array<bigint>" if more else StructType([StructField("node", LongType()), StructField("shingles", BinaryType())])
     return documents.select("text", *more).mapInArrow(run, schema)
 
 
@@ -89,7 +99,7 @@ def _decided(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def block_links(similarity: float):
-    """For applyInPandas over one block pair of a band: links (a, b) that span its similar documents."""
+    """For applyInPandas over one block pair of a group: links (a, b) that span its similar documents."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         node, found = group["node"].to_numpy(), [np.frombuffer(s, "<u8") for s in group["shingles"]]
         size = np.array([len(s) for s in found])
@@ -114,28 +124,56 @@ def block_links(similarity: float):
     return run
 
 
-def classes(prints: DataFrame, documents: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
-    """node and root of every node that is similar to another; `prints`: doc_id, text_hash, node, keys of `documents`."""
-    banded = prints.groupBy("node").agg(F.first("keys").alias("keys")).select("node", F.explode("keys").alias("key"))
-    # counted and given its pivot in the map tasks first; the join back may split a key that many documents share
-    bands = staged(banded.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1"), "near-keys")
-    shared = staged(banded.join(bands, "key"), "near-bands")
+def _shared(rows: DataFrame, name: str) -> DataFrame:
+    """The rows (node, key) whose key several have."""
+    # counted in the map tasks first; the join back may split a key that many documents share
+    several = staged(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "near-keys")
+    return staged(rows.join(several, "key"), name)
+
+
+def _compared(shared: DataFrame, sets: DataFrame, links: DataFrame | None, similarity: float, block: int) -> DataFrame:
+    """`links` and those that join the similar documents of each group: rows (node, key) with one key."""
+    def placed(known: DataFrame) -> DataFrame:
+        roots = connected(known).withColumnRenamed("root", "component")
+        return staged(shared.join(roots, "node", "left").withColumn("component", F.coalesce("component", "node")), "near-open")
+
+    def several(rows: DataFrame) -> DataFrame:
+        """key, pivot and n of groups with several components."""
+        counted = rows.groupBy("key").agg(F.min(F.struct("node", "component")).alias("pivot"), F.count("*").alias("n"),
+                                          F.min("component").alias("low"), F.max("component").alias("high"))
+        return counted.where("low < high").select("key", "pivot", "n")
+
+    rows = shared.withColumn("component", F.col("node")) if links is None else placed(links)
+    stars = rows.join(staged(several(rows), "near-pivots"), "key").where("component != pivot.component")
+    found = staged(_decided(stars.select(F.col("node").alias("a"), F.col("pivot.node").alias("b")).distinct(), sets, similarity), "near-pairs")
+    if links is not None:
+        found = links.unionByName(found)
+    rows = placed(found)
+    # two documents of a group have been compared; so have all where one component is left
+    left = rows.join(several(rows).where("n > 2").select("key", "n"), "key")
+    left = left.withColumn("blocks", F.ceil(F.col("n") / block)).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    left = left.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    left = left.select("key", "node", "component", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+    more = left.join(sets, "node").groupBy("key", "one", "two").applyInPandas(block_links(similarity), "a bigint, b bigint")
+    return staged(found.unionByName(more), "near-links")
+
 
-    some = prints.select("node", "text_hash").join(shared.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash"))
+def classes(prints: DataFrame, documents: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, block: int = BLOCK,
+            radius: int = RADIUS) -> DataFrame:
+    """node and root of every node that is similar to another; `prints`: doc_id, text_hash, node, fp, keys of `documents`."""
+    # an empty set is like no other; it has no keys
+    nodes = staged(prints.where(F.size("keys") > 0).groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys")), "near-nodes")
+    linked = connected(near_links(nodes.select("fp").distinct(), radius=radius)).select(F.col("node").alias("fp"), "root")
+    trees = _shared(nodes.select("fp", "node").join(linked, "fp", "left").select("node", F.coalesce("root", "fp").alias("key")), "near-trees")
+    bands = _shared(nodes.select("node", F.explode("keys").alias("key")), "near-bands")
+
+    either = trees.select("node").unionByName(bands.select("node")).distinct()
+    some = prints.select("node", "text_hash").join(either, "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash"))
     texts = documents.select(row_hash().alias("text_hash"), whole_text().alias("text")).join(some.select("text_hash"), "text_hash", "left_semi")
     sets = staged(_sets(texts, shingle).groupBy("node").agg(F.first("shingles").alias("shingles")), "near-sets")
 
-    stars = shared.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    found = staged(_decided(stars, sets, similarity), "near-pairs")
-    roots = connected(found).withColumnRenamed("root", "component")
-    # two documents of a band have been compared; so have all where one component is left
-    open_ = staged(shared.where("n > 2").join(roots, "node", "left").withColumn("component", F.coalesce("component", "node")), "near-open")
-    several = open_.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    left = open_.join(several, "key").withColumn("blocks", F.ceil(F.col("n") / block)).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    left = left.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    left = left.select("key", "node", "component", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
-    more = left.join(sets, "node").groupBy("key", "one", "two").applyInPandas(block_links(similarity), "a bigint, b bigint")
-    return connected(staged(found.unionByName(more), "near-links"))
+    links = _compared(trees, sets, None, similarity, block)
+    return connected(_compared(bands, sets, links, similarity, block))
 
 
 def one_of_each(documents: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:

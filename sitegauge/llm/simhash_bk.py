@@ -1,10 +1,11 @@
 """SimHash near duplicates: fingerprints linked through BK-trees.
 
-Two fingerprints that differ in at most two of 64 bits agree in at least one of three blocks of bits.  A shard is the set
+Two fingerprints that differ in at most two of 64 bits agree in at least one of three blocks of bits (with a wider radius
+there are as many more blocks).  A shard is the set
 of distinct fingerprints that agree in a block; each shard has a BK-tree whose children are keyed by their Hamming
 distance to the parent, and every fingerprint of the shard is searched in it along the edges within the radius.  Trees
 and searches meet in the shard's task: all trees together grow with the corpus, so none is sent to all executors.  A
-shard that is larger than a bound is cut anew by three blocks of its remaining bits, until it cannot be: no pair is
+shard that is larger than a bound is cut anew by as many blocks of its remaining bits, until it cannot be: no pair is
 lost and no task holds more than the bound.
 """
 
@@ -24,7 +25,7 @@ from sitegauge.llm.components import connected
 RADIUS, SHINGLE, SEED = 2, 3, 42
 #: Distinct fingerprints of one shard, and rows whose trees a task builds at once.
 SHARD, AT_ONCE = 8192, 60_000
-_PAIRS_AT_ONCE = 2_000_000
+_PAIRS_AT_ONCE = 300_000
 
 
 def shingle_hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
@@ -42,8 +43,11 @@ def shingle_hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+    return fingerprint_of(shingle_hashes(text, shingle))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
     """Unsigned 64 bits; a bit is set if it is in over half the shingles' hashes."""
-    hashes = shingle_hashes(text, shingle)
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 100_000):
         part = hashes[at:at + 100_000]
@@ -167,7 +171,7 @@ def shard_links(shard_size: int = SHARD, radius: int = RADIUS):
     return run
 
 
-def _split(bits: list[int], parts: int = RADIUS + 1) -> list[list[int]]:
+def _split(bits: list[int], parts: int) -> list[list[int]]:
     return [list(map(int, p)) for p in np.array_split(bits, parts)]
 
 
@@ -176,8 +180,9 @@ def _signed(bits: list[int]) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def near_links(nodes: DataFrame, shard_size: int = SHARD) -> DataFrame:
+def near_links(nodes: DataFrame, shard_size: int = SHARD, radius: int = RADIUS) -> DataFrame:
     """Links (a, b) between the distinct fingerprints `nodes` (column fp) that connect all pairs within the radius."""
+    parts = radius + 1
     if shard_size < 64:
         raise ValueError("a shard below 64 fingerprints would take too many cuts")
     level = {0: ([], list(range(64)))}  # path -> bits that agree, bits that may differ
@@ -186,14 +191,14 @@ def near_links(nodes: DataFrame, shard_size: int = SHARD) -> DataFrame:
         below, steps = {}, []
         for path, (agreed, free) in level.items():
             cuts = []
-            for k, bits in enumerate(_split(free)):
-                below[(RADIUS + 1) * path + k + 1] = (agreed + bits, [b for b in free if b not in bits])
-                cuts.append(F.struct(F.lit((RADIUS + 1) * path + k + 1).alias("path"), F.lit(_signed(agreed + bits)).cast("long").alias("mask")))
+            for k, bits in enumerate(_split(free, parts)):
+                below[parts * path + k + 1] = (agreed + bits, [b for b in free if b not in bits])
+                cuts.append(F.struct(F.lit(parts * path + k + 1).alias("path"), F.lit(_signed(agreed + bits)).cast("long").alias("mask")))
             steps += [F.lit(path), F.array(*cuts)]
         cut = rows.select("fp", F.explode(F.element_at(F.create_map(*steps), F.col("path"))).alias("c"))
         cut = cut.select(F.xxhash64("c.path", F.col("fp").bitwiseAND(F.col("c.mask"))).alias("key"), "fp", F.col("c.path").alias("path"))
         dealt = cut.select("key", "fp").repartition("key").sortWithinPartitions("key", "fp")
-        links = staged(dealt.mapInArrow(shard_links(shard_size), "a bigint, b bigint, hot bigint"), "near-links")
+        links = staged(dealt.mapInArrow(shard_links(shard_size, radius), "a bigint, b bigint, hot bigint"), "near-links")
         found.append(links.where("hot IS NULL").select("a", "b"))
         hot = links.where("hot IS NOT NULL").select(F.col("hot").alias("key"))
         if hot.isEmpty():

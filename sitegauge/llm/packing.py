@@ -27,7 +27,7 @@ CAPACITY = 2048
 #: Ids that a task holds before it packs them (4 bytes each).
 WINDOW_TOKENS = 3_000_000
 #: Bytes of text that are encoded at once.
-TEXTS_AT_ONCE = 6_000_000
+TEXTS_AT_ONCE = 3_000_000
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint, sequence_length bigint")
 
@@ -95,7 +95,8 @@ class Packer:
         for start in range(0, whole, self.capacity):
             self.close([(doc_id, start, ids[start:start + self.capacity], len(ids))])
         if whole < len(ids):
-            self.put(doc_id, whole, ids[whole:], len(ids))
+            # a copy: a view would keep the ids of the whole document until its remainder is packed
+            self.put(doc_id, whole, ids[whole:].copy() if whole else ids, len(ids))
 
     def cut(self, items: list[tuple], room: int) -> None:
         """Fill `room` with the front of the longest remainder."""

@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words remembered per Python worker, and their greatest length: bounds its memory.
-REMEMBERED, LONGEST = 1_500_000, 64
+#: Words remembered per Python worker, and their greatest length: bounds its memory (two workers share an executor with a
+#: JVM).  Every batch numbers them anew, so more of them cost as much time as they save.
+REMEMBERED, LONGEST = 250_000, 64
 #: Words of these characters lower-case letter by letter and are cut by the pattern below as by the tokenizer's own.
 _LATIN = "^[!-;=-~À-ÖØ-öø-ÿ]{1,64}$"
 _PIECE = "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-zß-öø-ÿ0-9]+"

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from sitegauge.llm import mixing, near_copies, toxicity_cnn
+from sitegauge.llm import mixing, near_copies, packing, tokens, toxicity_cnn
 from sitegauge.llm.common import shared_dir
 from sitegauge.llm.queries import QUERIES
 
@@ -81,3 +81,20 @@ def test_training_batches_are_bounded():
     made = list(toxicity_cnn.batches(np.arange(len(rows)), rows))
     assert np.concatenate(made).tolist() == list(range(len(rows)))
     assert all(len(b) == 1 or len(b) <= toxicity_cnn.BATCH and sum(len(rows[k]) for k in b) <= toxicity_cnn.LEARNED for b in made)
+
+
+def test_packing_keeps_remainders_and_not_whole_documents():
+    packer = packing.Packer(8, 0)
+    packer.add(1, np.arange(8 * 1000 + 3, dtype="<u4"))
+    packer.add(2, np.arange(5, dtype="<u4"))
+    held = [ids if ids.base is None else ids.base for items in packer.by_length for _, _, ids, _ in items]
+    assert sorted(len(x) for x in held) == [3, 5]
+
+
+def test_remembered_words_are_bounded():
+    words = tokens.WordIds("word_bpe_49k.json")
+    for part in range(5):
+        text = " ".join(f"w{k}q" for k in range(part * 90_000, (part + 1) * 90_000))
+        (ids,) = words.batch([text])
+        assert len(words.words) <= 250_001 and len(words.words) == len(words.lengths)
+        assert ids[:400].tolist() == words.direct(text[:2000])[:400].tolist()

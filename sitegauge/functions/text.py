@@ -26,6 +26,14 @@ def by_sql(c, name: str, body: str) -> Column:
     return F.get(F.call_function("transform", F.array(as_col(c)), F.expr(f"{name} -> {body}")), F.lit(0))
 
 
+def in_place(c) -> Column:
+    """The same value, computed once and where it stands.
+
+    Spark copies a deterministic expression into the filters that it moves below projections and shuffles, also into
+    those that it makes up itself for an explode; an expression with the number of the task it leaves where it is."""
+    return F.when(F.spark_partition_id() >= 0, as_col(c))
+
+
 def clean_text(c) -> Column:
     """Runs of ASCII whitespace become one space; no space at either end."""
     return F.trim(F.regexp_replace(as_col(c), r"\s+", " "))

@@ -4,12 +4,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def salts_of(df: DataFrame) -> int:
-    """Buckets that a hot key is spread over: a quarter of the session's shuffle partitions."""
+def partitions_of(df: DataFrame) -> int:
+    """The session's shuffle partitions."""
     setting = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
     # some platforms choose the number themselves and say "auto"
-    partitions = int(setting) if setting.isdigit() else 4 * df.sparkSession.sparkContext.defaultParallelism
-    return max(2, partitions // 4)
+    return int(setting) if setting.isdigit() else 4 * df.sparkSession.sparkContext.defaultParallelism
+
+
+def salts_of(df: DataFrame) -> int:
+    """Buckets that a hot key is spread over: a quarter of the session's shuffle partitions."""
+    return max(2, partitions_of(df) // 4)
+
+
+def spread_rows(df: DataFrame) -> DataFrame:
+    """The same rows dealt evenly over the session's shuffle partitions, copies of one row too.
+
+    For narrow rows before much work on each of them: a scan has no more busy tasks than its files have row groups.
+    Filters on what is computed afterwards are moved below the shuffle unless they are `in_place`."""
+    return df.repartition(partitions_of(df))
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, on, how: str = "left", spread=(), salts: int | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from sitegauge.catalog.registry import register
 from sitegauge.functions import contacts as C
 from sitegauge.functions import text as X
 from sitegauge.operators import evidence as E
+from sitegauge.operators.joins import spread_rows
 from sitegauge.plans import silver as P
 
 YEAR = 2026
@@ -22,10 +23,17 @@ ADDRESS_CONTEXT = f"intro || '[[' || {ADDRESS_TEXT} || ']]' || substring('. ' ||
 
 
 def texts(spark, sf):
-    return S.frame(spark, sf, S.CONTACT_PAGES)
+    """The contact pages, dealt over all tasks before their texts are searched."""
+    return spread_rows(S.frame(spark, sf, S.CONTACT_PAGES))
+
+
+def mined(df, keys, found):
+    """The contacts of each page, searched for once: an explode of the expression itself would also search for its filters."""
+    return df.select(*keys, X.in_place(found).alias("found"))
 
 
 def flat(df, keys):
+    df = mined(df, keys, "found")
     return df.select(*keys, F.explode("found").alias("c")).select(*keys, "c.value", "c.context", "c.source")
 
 
@@ -92,7 +100,7 @@ def extract_jsonld_addresses(spark, sf):
 def contacts_first_wins(spark, sf):
     """Text, link and JSON-LD all hold the same number; the text is first."""
     found = C.page_phones("text", links(), blocks())
-    return (texts(spark, sf).select("c_custkey", F.posexplode(found).alias("position", "c"))
+    return (mined(texts(spark, sf), ["c_custkey"], found).select("c_custkey", F.posexplode("found").alias("position", "c"))
             .select("c_custkey", "position", "c.value", "c.source"))
 
 
@@ -102,13 +110,13 @@ ADDRESS_MATCH = f"CASE WHEN {HQ} THEN 'stated headquarters' WHEN url LIKE '%/con
 
 
 def address_rows(spark, sf):
-    found = texts(spark, sf).select("c_custkey", "serial_no", "url", F.explode(C.extract_text_addresses("text")).alias("c"))
-    return found.select("c_custkey", "serial_no", "url", "c.*")
+    keys = ["c_custkey", "serial_no", "url"]
+    return flat(texts(spark, sf).select(*keys, C.extract_text_addresses("text").alias("found")), keys)
 
 
 def phone_rows(spark, sf):
-    found = texts(spark, sf).select("c_custkey", "serial_no", "url", F.explode(C.extract_text_phones("text")).alias("c"))
-    return found.select("c_custkey", "serial_no", "url", "c.*")
+    keys = ["c_custkey", "serial_no", "url"]
+    return flat(texts(spark, sf).select(*keys, C.extract_text_phones("text").alias("found")), keys)
 
 
 @register("score_address", f"SELECT c_custkey, {ADDRESS_SCORE} AS score, {ADDRESS_MATCH} AS match FROM {SQL_PAGES}")
@@ -188,9 +196,13 @@ FOUNDED_SQL = f"""(SELECT serial_no, y AS founded_year, url AS founded_source_ur
   FROM {STATED} WHERE y BETWEEN 1800 AND {YEAR}) WHERE n = 1)"""
 
 
+def founding_pages(spark, sf):
+    return spread_rows(S.frame(spark, sf, FOUNDING))
+
+
 @register("founded_year", f"SELECT * FROM {FOUNDED_SQL}")
 def founded_year(spark, sf):
-    return P.founded_year(S.frame(spark, sf, FOUNDING), YEAR)
+    return P.founded_year(founding_pages(spark, sf), YEAR)
 
 
 PREVIOUS_SQL = "(SELECT state, zip, latitude, longitude, geocoded_city, geocoded_place FROM " + S.sql(S.PREVIOUS) + " WHERE latitude IS NOT NULL)"
@@ -248,10 +260,10 @@ def assemble_contacts(spark, sf):
     told = texts(spark, sf).select(
         "serial_no", "url", F.lit("other").alias("page_type"), F.lit(None).cast("string").alias("title"),
         F.lit(None).cast("string").alias("meta_description"), F.lit(None).cast("string").alias("body_text"),
-        C.contacts_first_wins(C.extract_text_phones("text")).alias("contact_phones"),
-        C.contacts_first_wins(C.extract_text_addresses("text")).alias("contact_addresses"))
+        X.in_place(C.contacts_first_wins(C.extract_text_phones("text"))).alias("contact_phones"),
+        X.in_place(C.contacts_first_wins(C.extract_text_addresses("text"))).alias("contact_addresses"))
     none = F.array().cast(C.CONTACT_TYPE)
-    founding = S.frame(spark, sf, FOUNDING).select("serial_no", "url", "page_type", "title", "meta_description", "body_text",
+    founding = founding_pages(spark, sf).select("serial_no", "url", "page_type", "title", "meta_description", "body_text",
                                                    none.alias("contact_phones"), none.alias("contact_addresses"))
     return P.assemble_contacts(S.frame(spark, sf, SITE_NAMES), told.unionByName(founding), S.frame(spark, sf, S.GAZETTEER),
                                S.frame(spark, sf, S.PREVIOUS), YEAR).drop("updated_at")

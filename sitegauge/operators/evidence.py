@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitegauge.functions import text as X
 from sitegauge.operators.joins import lookup_join
 from sitegauge.operators.ranking import first_per_group
 from sitegauge.sources.staging import staged
@@ -38,7 +39,7 @@ def earliest_founding(pages: DataFrame, years: Column, as_of_year: int, min_year
                       site: str = "serial_no") -> DataFrame:
     """Smallest plausible year per site and the smallest address that states it."""
     plausible = F.filter(years, lambda y: y.between(min_year, as_of_year))
-    first = F.array_min(plausible)
+    first = X.in_place(F.array_min(plausible))
     stated = pages.select(site, "url", first.alias("year")).where(F.col("year").isNotNull())
     return (stated.groupBy(site).agg(F.min(F.struct("year", "url")).alias("_f"))
             .select(site, F.col("_f.year").alias("founded_year"), F.col("_f.url").alias("founded_source_url")))

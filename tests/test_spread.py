@@ -1,9 +1,12 @@
 """Rows of one row group are worked on by all tasks, and costly expressions once."""
 
+import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
+from sitegauge.catalog import contact_queries
 from sitegauge.functions import text as X
 from sitegauge.operators.joins import spread_rows
 from sitegauge.plans import gold
@@ -23,6 +26,14 @@ def below_shuffle(df):
     return lines[next(k for k, line in enumerate(lines) if "Repartition" in line):]
 
 
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """One customer table of one row group."""
+    at = str(tmp_path_factory.mktemp("one-group"))
+    spark.range(400).select(F.col("id").alias("c_custkey"), F.concat(F.lit("Customer "), "id").alias("c_name")).coalesce(1).write.parquet(f"{at}/customer.parquet")
+    return at
+
+
 def test_product_addresses_of_one_task_are_spread(spark):
     paths = ["products/excavators/a", "products/warranty/b", "products/other/c", None]
     rows = [(str(k % 7), f"u{k // 2}", paths[k // 2 % 4], "news" if k % 10 == 9 else "product") for k in range(800)]
@@ -45,3 +56,17 @@ def test_a_value_in_place_is_not_copied_into_filters(spark):
     found = listed.select(X.in_place(F.split("t", ",")).alias("parts")).select(F.explode("parts").alias("p")).where("p <> ''")
     assert sum(line.count("split(") for line in plan(found)) == 1
     assert sorted(r.p for r in found.collect()) == ["a", "b"]
+
+
+@pytest.mark.parametrize("name", ["extract_text_phones", "extract_text_addresses", "contacts_first_wins", "score_address"])
+def test_contact_pages_are_spread_and_searched_once(spark, folder, name):
+    found = getattr(contact_queries, name)(spark, folder)
+    assert len(tasks(found)) == 8 and found.count() == 400
+    assert not any("regexp_extract_all" in line or "split(" in line for line in below_shuffle(found))
+    assert not any(re.match(r"\W*Filter", line) and ("regexp" in line or "split(" in line) for line in plan(found))
+
+
+def test_founding_years_are_searched_after_the_spread(spark, folder):
+    found = contact_queries.founded_year(spark, folder)
+    assert found.count() > 0
+    assert not any("regexp_extract_all" in line or "RLIKE" in line for line in below_shuffle(found))

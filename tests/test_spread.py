@@ -151,3 +151,7 @@ def companies_once(spark, name, folder):
 
 def test_bar_electric_broadcasts_companies_once(spark, machines):
     assert companies_once(spark, "bar_electric", machines).count() > 10
+
+
+def test_ds_electric_broadcasts_companies_once(spark, machines):
+    assert companies_once(spark, "ds_electric", machines).count() > 20

@@ -159,3 +159,7 @@ def test_ds_electric_broadcasts_companies_once(spark, machines):
 
 def test_electric_products_broadcasts_companies_once(spark, machines):
     assert companies_once(spark, "electric_products", machines).count() > 20
+
+
+def test_kpi_electric_broadcasts_companies_once(spark, machines):
+    assert companies_once(spark, "kpi_electric", machines).count() == 1
